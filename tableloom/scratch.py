@@ -8,6 +8,7 @@ to the other executors.  A table that was written survives the loss of any execu
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -45,6 +46,11 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.table(name))
         return self.spark.read.schema(schema).parquet(self.table(name))
 
+    def release(self) -> None:
+        """Lets go of the shuffle files of finished queries, which the driver otherwise keeps until it happens to collect garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing reads any more, so that they stop counting as disk."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

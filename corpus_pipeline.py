@@ -1,21 +1,60 @@
-"""A corpus pipeline over documents: one stage after another, each written as a table and read again."""
+"""A corpus pipeline over documents: one stage after another, each written as a table and read again.
+
+Rows are told apart by doc_id.  Rows without one leave at the near-duplicate stage, rows that repeat one are one
+document there.  An empty table passes every stage and gives no pieces.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tableloom.llm.byte_conv import keep_good
 from tableloom.llm.jaccard_join import Jaccard, link_documents
+from tableloom.llm.line_dedup import dedup_lines
+from tableloom.llm.mixing import WORDS, mix
+from tableloom.llm.packing import pack
+from tableloom.llm.tokens import Vocabulary
 from tableloom.scratch import Scratch
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that match an earlier line go, and documents of which nothing else is left."""
+    return dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORDS)).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one of the least doc_id."""
-    return docs.join(link_documents(docs, Jaccard()).filter("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    kept = link_documents(docs, Jaccard()).filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document is there as often as the mix takes it."""
+    copies = mix(docs).filter("copies > 0").select("doc_id", "copies")
+    repeated = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of training sequences."""
+    return pack(docs, Vocabulary.byte_bpe()).drop("ids")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("ngram_jaccard_join", near_duplicates)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality),
+    ("line_dedup", lines),
+    ("ngram_jaccard_join", near_duplicates),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+#: A trained network and a seeded choice are no SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tableloom.llm import wordscan as ws
-from tableloom.llm.linking import link_buckets
+from tableloom.llm.linking import link_buckets, sized
 from tableloom.scratch import Scratch
 
 U = np.uint64
@@ -169,22 +169,26 @@ def link_documents(docs: DataFrame, j: Jaccard | None = None) -> DataFrame:
     about = scratch.save(describe(docs, j), "about")
     classes = about.filter("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("rep")).filter("rep is not null")
     classes = scratch.save(classes, "classes")
-    reps = about.withColumnRenamed("doc_id", "id").join(classes.select("a", "b", F.col("rep").alias("id")), ["a", "b", "id"], "left_semi")
-    reps = scratch.save(reps, "reps")
+    copies = about.join(classes, ["a", "b"]).filter(F.col("doc_id") > F.col("rep")).select("doc_id", "a").distinct()
+    copies = scratch.save(copies, "copies")
+    reps = about.filter("n_shingles > 0 and doc_id is not null").join(sized(copies), ["doc_id", "a"], "left_anti").withColumnRenamed("doc_id", "id")
 
     keyed = reps.select("id", F.explode("keys").alias("key"))
     w = W.partitionBy("key")
     met = keyed.select("key", "id", F.min("id").over(w).alias("low"), F.max("id").over(w).alias("high"), F.xxhash64(F.count("*").over(w), F.min("id").over(w), F.max("id").over(w), F.bit_xor(F.xxhash64("id")).over(w)).alias("same")).filter("low < high").select("key", "id", "same")
     met = scratch.save(met, "met")
+    scratch.release()
     one = met.groupBy("same").agg(F.min("key").alias("key"))  # of buckets with the same members, one
     buckets = scratch.save(met.join(one, ["same", "key"], "left_semi").select("key", "id").distinct(), "buckets")
     scratch.drop("met")
 
-    facts = reps.select("id", F.struct(F.col("n_shingles").alias("size"), *(f"s{k}" for k in range(SKETCH))).alias("fact")).distinct()
+    ids = scratch.save(buckets.select("id").distinct(), "ids")
+    facts = reps.join(sized(ids), "id", "left_semi").select("id", F.struct(F.col("n_shingles").alias("size"), *(f"s{k}" for k in range(SKETCH))).alias("fact")).distinct()
     buckets = scratch.save(buckets.join(facts, "id"), "buckets-facts")
-    texts = docs.withColumnRenamed("doc_id", "id").join(buckets.select("id").distinct(), "id", "left_semi").withColumnRenamed("id", "doc_id")
+    texts = docs.withColumnRenamed("doc_id", "id").join(sized(ids), "id", "left_semi").withColumnRenamed("id", "doc_id")
     sets = scratch.save(element_sets(texts, j.n).filter("size > 0"), "sets")
-    scratch.drop("reps", "buckets")
+    scratch.drop("buckets")
+    scratch.release()
 
     def close(a: Column, b: Column) -> Column:
         """Length filter, then the Hamming distance of the dense sketches."""

@@ -9,6 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tableloom.scratch import Scratch
 
 
+BROADCAST = 2_000_000  # rows of one or two longs that may go to every task: 32 MB
+
+
+def sized(df: DataFrame, most: int = BROADCAST) -> DataFrame:
+    """df, to be broadcast if a count shows that it is small; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def _stars(edges: DataFrame, small: bool) -> DataFrame:
     """One half of the alternating star contraction: hooks each node's larger (or smaller) neighbours to its least one."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -9,10 +9,12 @@ no sequential pass.  The next decision's probability mixes the estimates of all
 weights Pe / (2 Pw).  A context that training never reached takes its parent's estimate.  Code length per byte is
 -log2 of the product over the text's bytes.
 
-Spark's part: texts are hashed into blocks of bounded size, a block counts its distinct n-grams and words, the
-counts meet by key, and each block gets back the values of its own keys.  The trees are split by the last two
-context bytes, which share nothing but the two topmost depths; those have at most 257 * 255 nodes, so they are
-gathered and broadcast whatever the corpus holds.
+Spark's part: texts are hashed into blocks of bounded size.  A block counts its distinct n-grams and words and deals
+them by key hash into parts, one row of sorted arrays for each part.  A part sums the counts of its keys over all
+blocks.  The trees are split by the last two context bytes, which share nothing but the two topmost depths; those
+have at most 257 * 255 nodes, so they are gathered and broadcast whatever the corpus holds.  The values of the keys
+return to their parts and from there to each block, as arrays in the order of the keys that the block sent, so
+no row is ever made per key and frequent keys weigh no more than others.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from tableloom.scratch import Scratch
 
 U = np.uint64
 GRAM, WORD = 0, 1
+PART_KEYS = 1_000_000  # keys of all blocks that a part holds, about
+TREE_KEYS = 200_000  # distinct n-grams whose trees one task grows, about
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -168,57 +172,106 @@ def run_lengths(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[first], np.diff(np.r_[first, len(x)])
 
 
-def count_block(depth: int) -> Callable[[pa.Table], pa.Table]:
-    """Of a block's texts (doc_id, text, block, learn): its distinct keys with their counts in the texts to learn from."""
+def part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    return (ws.mix(key ^ U(0x9D39247E33776D41)) % U(parts)).astype(np.int64)
+
+
+def arrays(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.zeros(0), kind))
+
+
+def block_keys(texts: pa.Table, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of a block's texts (text, learn): sorted n-grams and sorted words, with their counts in the texts to learn from."""
+    learn = texts["learn"].combine_chunks().to_numpy(zero_copy_only=False)
+    held: list[list] = [[], []]
+    for lo, hi, data, at in ws.chunks(texts["text"]):
+        x, mine = Stream(data, at, depth), learn[lo:hi]
+        for kind, (key, doc) in enumerate(((x.code, x.doc), (x.word, x.word_doc))):
+            known = mine[doc]
+            got, n = run_lengths(key[known])
+            other, zero = run_lengths(key[~known])
+            held[kind] += [(got, n), (other, zero * 0)]
+        if len(held[0]) > 12:
+            held = [[count_keys(h)] for h in held]
+    return [count_keys(h) if h else (np.zeros(0, U), np.zeros(0, np.int64)) for h in held]
+
+
+def count_block(depth: int, parts: int) -> Callable[[pa.Table], pa.Table]:
+    """A block's keys dealt into parts: one row (block, kind, part, keys, n) for each."""
+
+    def run(texts: pa.Table) -> pa.Table:
+        block, rows = texts["block"][0].as_py(), []
+        for kind, (key, n) in enumerate(block_keys(texts, depth)):
+            part = part_of(key, parts)
+            order = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[order], np.arange(parts + 1))
+            rows += [(kind, p, key[own], n[own]) for p in range(parts) if len(own := order[ends[p] : ends[p + 1]])]
+        kind, part, keys, n = zip(*rows, strict=True)
+        return pa.table({"block": pa.array([block] * len(rows), pa.int64()), "kind": pa.array(kind, pa.int8()), "part": pa.array(part, pa.int64()), "keys": arrays([ws.signed(k) for k in keys], pa.int64()), "n": arrays(list(n), pa.int32())})
+
+    return run
+
+
+def gather(table: pa.Table, name: str) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table[name].chunks]) if len(table) else np.zeros(0, np.int64)
+
+
+def sum_part(trees: int) -> Callable[[pa.Table], pa.Table]:
+    """A part's distinct keys with their summed counts; n-grams by the group of trees that their last two bytes are in."""
 
     def run(table: pa.Table) -> pa.Table:
-        block = table["block"][0].as_py()
-        learn = table["learn"].combine_chunks().to_numpy(zero_copy_only=False)
-        held: list[list] = [[], []]
-        for lo, hi, data, at in ws.chunks(table["text"]):
-            x, mine = Stream(data, at, depth), learn[lo:hi]
-            for kind, (key, doc) in enumerate(((x.code, x.doc), (x.word, x.word_doc))):
-                known = mine[doc]
-                got, n = run_lengths(key[known])
-                other, zero = run_lengths(key[~known])
-                held[kind] += [(got, n), (other, zero * 0)]
-            if len(held[0]) > 12:
-                held = [[count_keys(h)] for h in held]
-        found = [count_keys(h) for h in held]
-        key = ws.signed(np.concatenate([k for k, _ in found]))
-        kind = np.repeat(np.array([GRAM, WORD], np.int8), [len(k) for k, _ in found])
-        return pa.table({"block": pa.array(np.full(len(key), block, np.int64)), "kind": pa.array(kind), "key": pa.array(key), "n": pa.array(np.concatenate([n for _, n in found]).astype(np.int64))})
+        kind, part = table["kind"][0].as_py(), table["part"][0].as_py()
+        key, n = count_keys([(gather(table, "keys").view(U), gather(table, "n").astype(np.int64))])
+        tree = part_of(key >> U(8) & U(0xFFFF), trees) if kind == GRAM else np.full(len(key), -1, np.int64)
+        order = np.argsort(tree, kind="stable")
+        group, first = np.unique(tree[order], return_index=True)
+        own = np.split(order, first[1:])
+        return pa.table({"kind": pa.array([kind] * len(group), pa.int8()), "part": pa.array([part] * len(group), pa.int64()), "tree": pa.array(group), "keys": arrays([ws.signed(key[o]) for o in own], pa.int64()), "n": arrays([n[o] for o in own], pa.int64()), "distinct": pa.array([len(o) for o in own], pa.int64()), "known": pa.array([int((n[o] > 0).sum()) for o in own], pa.int64()), "total": pa.array([int(n[o].sum()) for o in own], pa.int64())})
 
     return run
 
 
-def score_block(depth: int, tokens: float, kinds: float, ends: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def return_values(sent: pa.Table, known: pa.Table) -> pa.Table:
+    """To each block the values of the keys that it sent to this part, in its own order."""
+    key, value = gather(known, "keys").view(U), gather(known, "values")
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    out = [value[np.searchsorted(key, np.asarray(k).view(U))] for k in (x.values.to_numpy() for x in sent["keys"])]
+    return pa.table({"block": sent["block"], "kind": sent["kind"], "part": sent["part"], "values": arrays(out, pa.float64())})
+
+
+def score_block(depth: int, parts: int, tokens: float, kinds: float, ends: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Scores of a block's texts, given log10 P of its n-grams and the training counts of its words."""
 
-    def run(texts: pa.Table, values: pa.Table) -> pa.Table:
-        kind, key, value = (values[c].combine_chunks().to_numpy() for c in ("kind", "key", "value"))
+    def run(texts: pa.Table, got: pa.Table) -> pa.Table:
+        by = {(k, p): v.values.to_numpy() for k, p, v in zip(got["kind"].to_pylist(), got["part"].to_pylist(), got["values"], strict=True)}
         tables = []
-        for k in (GRAM, WORD):
-            own, val = key[kind == k].view(U), value[kind == k]
-            order = np.argsort(own)
-            tables.append((own[order], val[order]))
+        for kind, (key, _) in enumerate(block_keys(texts, depth)):
+            part, value = part_of(key, parts), np.zeros(len(key))
+            order = np.argsort(part, kind="stable")
+            bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            for p in range(parts):
+                if bounds[p] < bounds[p + 1]:
+                    value[order[bounds[p] : bounds[p + 1]]] = by[kind, p]
+            tables.append((key, value))
         out: list[list[np.ndarray]] = [[], [], [], [], []]
         unit = np.log10(tokens + kinds + 1)
         for lo, hi, data, at in ws.chunks(texts["text"]):
             x, n = Stream(data, at, depth), hi - lo
-            score = np.bincount(x.doc, tables[0][1][np.searchsorted(tables[0][0], x.code)], n)
-            c = tables[1][1][np.searchsorted(tables[1][0], x.word)] if len(x.word) else np.zeros(0)
+            score = np.bincount(x.doc, tables[GRAM][1][np.searchsorted(tables[GRAM][0], x.code)], n)
+            c = tables[WORD][1][np.searchsorted(tables[WORD][0], x.word)] if len(x.word) else np.zeros(0)
             base = np.bincount(x.word_doc, np.log10(c + 1) - unit, n) + np.log10(ends + 1) - unit
             known = np.bincount(x.word_doc, c > 0, n) + (ends > 0)
-            for column, got in zip(out, (score, base, x.n_words + 1, known, np.bincount(x.doc, minlength=n)), strict=True):
-                column.append(got)
+            for column, one in zip(out, (score, base, x.n_words + 1, known, np.bincount(x.doc, minlength=n)), strict=True):
+                column.append(one)
         score, base, n_tokens, known, size = (np.concatenate(c) if c else np.zeros(0) for c in out)
         return pa.table({"doc_id": texts["doc_id"], "held_out": pa.array(~texts["learn"].combine_chunks().to_numpy(zero_copy_only=False)), "n_tokens": pa.array(n_tokens.astype(np.int64)), "n_known": pa.array(known.astype(np.int64)), "base_score": pa.array(base), "score": pa.array(score), "bits_per_byte": pa.array(-score / np.log10(2) / size)})
 
     return run
 
 
-def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int = 16 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 24 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     learn: which rows the model may learn from; held_out is its negation.  score is log10 of the model's
@@ -229,43 +282,48 @@ def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int
     spark = docs.sparkSession
     scratch = Scratch(spark, "context-tree")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", learn.alias("learn"))
-    seen = docs.agg(F.sum(F.octet_length("text")), F.count_if("learn")).first()
-    ends = seen[1]
-    blocks = max(1, -(-(seen[0] or 0) // block_bytes))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(max(blocks, 1), "block")
-    keys = scratch.save(docs.groupBy("block").applyInArrow(count_block(depth), "block long, kind byte, key long, n long"), "keys")
-
-    words = keys.filter(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("c"))
-    words = scratch.save(words, "words")
-    total = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    tokens, kinds = (total[0] or 0) + ends, total[1] + (ends > 0)
-
-    grams = keys.filter(F.col("kind") == GRAM).groupBy("key").agg(F.sum("n").alias("n"))
-    grams = scratch.save(grams, "grams")
-    parts = max(1, -(-grams.count() // 200_000))
-    tail = F.shiftrightunsigned("key", 8).bitwiseAND(0xFFFF)
-    grams = grams.withColumn("part", F.pmod(F.xxhash64(tail), F.lit(parts)))
+    size, ends = docs.agg(F.sum(F.octet_length("text")), F.count_if("learn")).first()
+    blocks = max(1, -(-(size or 0) // block_bytes))
+    # A block has a tenth of its bytes in distinct keys, about.
+    parts = max(4, -(-(size or 0) // (10 * PART_KEYS)))
+    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(blocks, "block")
+    sent = scratch.save(docs.groupBy("block").applyInArrow(count_block(depth, parts), "block long, kind byte, part long, keys array<long>, n array<int>"), "sent")
+    scratch.release()
+
+    total = sent.select(F.sum(F.size("keys"))).first()[0] or 0
+    trees = max(1, -(-total // (8 * TREE_KEYS)))
+    summed = sent.groupBy("kind", "part").applyInArrow(sum_part(trees), "kind byte, part long, tree long, keys array<long>, n array<long>, distinct long, known long, total long")
+    summed = scratch.save(summed, "summed")
+    scratch.release()
+    known = summed.filter(F.col("kind") == WORD).agg(F.sum("total"), F.sum("known")).first()
+    tokens, kinds = (known[0] or 0) + ends, (known[1] or 0) + (ends > 0)
+    grams = summed.filter(F.col("kind") == GRAM).select("part", "tree", "keys", "n")
 
     def sums(table: pa.Table) -> pa.Table:
         """Depth 2's nodes summed by (last byte, binary node)."""
-        key, n = (table[c].combine_chunks().to_numpy() for c in ("key", "n"))
-        x = grow(key.view(U), n, depth, 2)[-1]
+        key, n = gather(table, "keys").view(U), gather(table, "n")
+        x = grow(key[n > 0], n[n > 0], depth, 2)[-1]
         ids, at = np.unique(x.ids & U(0xFFFF), return_inverse=True)
         a, b, pw = (np.bincount(at, y, len(ids)) for y in (x.a, x.b, x.pw))
         return pa.table({"c1": pa.array((ids >> U(8)).astype(np.int32)), "node": pa.array((ids & U(255)).astype(np.int32)), "a": a, "b": b, "pw": pw})
 
-    low = grams.filter("n > 0").groupBy("part").applyInArrow(sums, "c1 int, node int, a double, b double, pw double")
-    low = low.groupBy("c1", "node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("pw")).toPandas()
+    low = grams.groupBy("tree").applyInArrow(sums, "c1 int, node int, a double, b double, pw double")
+    low = low.groupBy("c1", "node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("pw").alias("pw")).toArrow()
     tops = spark.sparkContext.broadcast(top_levels(*(low[c].to_numpy() for c in ("c1", "node", "a", "b", "pw"))))
 
     def predict(table: pa.Table) -> pa.Table:
-        key, n = table["key"].combine_chunks().to_numpy().view(U), table["n"].combine_chunks().to_numpy()
+        key, n = gather(table, "keys").view(U), gather(table, "n")
         levels = grow(key[n > 0], n[n > 0], depth, 2)
-        return pa.table({"key": ws.signed(key), "value": np.concatenate([log10_symbol(key[i : i + 50_000], levels, tops.value, depth) for i in range(0, len(key), 50_000)])})
-
-    known = grams.groupBy("part").applyInArrow(predict, "key long, value double").withColumn("kind", F.lit(GRAM).cast("byte"))
-    known = known.unionByName(words.select("key", F.col("c").cast("double").alias("value"), F.lit(WORD).cast("byte").alias("kind")))
-    values = keys.select("block", "kind", "key").join(known, ["kind", "key"])
-    scored = docs.groupBy("block").cogroup(values.select("block", "kind", "key", "value").groupBy("block"))
-    out = scored.applyInArrow(score_block(depth, float(tokens), float(kinds), int(ends)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
+        value = np.concatenate([log10_symbol(key[i : i + 50_000], levels, tops.value, depth) for i in range(0, len(key), 50_000)])
+        sizes = np.cumsum([len(x) for x in table["keys"]])[:-1]
+        return pa.table({"kind": pa.array([GRAM] * len(table), pa.int8()), "part": table["part"], "keys": table["keys"], "values": arrays(np.split(value, sizes), pa.float64())})
+
+    values = grams.groupBy("tree").applyInArrow(predict, "kind byte, part long, keys array<long>, values array<double>")
+    values = values.unionByName(summed.filter(F.col("kind") == WORD).select("kind", "part", "keys", F.col("n").cast("array<double>").alias("values")))
+    back = sent.select("block", "kind", "part", "keys").groupBy("kind", "part").cogroup(values.groupBy("kind", "part"))
+    back = scratch.save(back.applyInArrow(return_values, "block long, kind byte, part long, values array<double>"), "back")
+    scratch.drop("sent", "summed")
+    scratch.release()
+    scored = docs.groupBy("block").cogroup(back.groupBy("block"))
+    out = scored.applyInArrow(score_block(depth, parts, float(tokens), float(kinds), int(ends)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")

@@ -123,16 +123,16 @@ def expand_spans(cells: DataFrame, keys: list[str], fill: str = "↑ (merged)")
     import pandas as pd
 
     def place(table: pd.DataFrame) -> pd.DataFrame:
-        taken, out = {}, []
-        for row, cells in table.sort_values(["row", "ord"]).groupby("row", sort=True):
-            col = 0
-            for _, cell in cells.iterrows():
-                while (row, col) in taken:
-                    col += 1
-                for r in range(max(1, int(cell["row_span"]))):
-                    for c in range(max(1, int(cell["col_span"]))):
-                        taken[row + r, col + c] = cell["text"] if not r and not c else fill if r else ""
-                col += max(1, int(cell["col_span"]))
+        table, taken, row, col = table.sort_values(["row", "ord"]), {}, None, 0
+        for r, high, wide, text in zip(*(table[c].tolist() for c in ("row", "row_span", "col_span", "text")), strict=True):
+            if r != row:
+                row, col = r, 0
+            while (row, col) in taken:
+                col += 1
+            for i in range(max(1, high)):
+                for j in range(max(1, wide)):
+                    taken[row + i, col + j] = text if not i and not j else fill if i else ""
+            col += max(1, wide)
         out = [(*(table[k].iloc[0] for k in keys), r, c, t) for (r, c), t in sorted(taken.items())]
         return pd.DataFrame(out, columns=[*keys, "row", "col", "text"])
 

@@ -120,24 +120,35 @@ def expand_spans(cells: DataFrame, keys: list[str], fill: str = "↑ (merged)")
     A cell takes the first free places of its row; places below it in its rows are filled with a mark, places to
     its right are blank.  Where a cell goes depends on all before it, so a table is one group.
     """
-    import pandas as pd
+    from collections.abc import Iterator
+
+    import pyarrow as pa
 
-    def place(table: pd.DataFrame) -> pd.DataFrame:
-        table, taken, row, col = table.sort_values(["row", "ord"]), {}, None, 0
-        for r, high, wide, text in zip(*(table[c].tolist() for c in ("row", "row_span", "col_span", "text")), strict=True):
+    def place(cells: list[dict]) -> list[tuple[int, int, str]]:
+        taken, row, col = {}, None, 0
+        for cell in cells:
+            r, high, wide = cell["row"], max(1, cell["row_span"]), max(1, cell["col_span"])
             if r != row:
                 row, col = r, 0
             while (row, col) in taken:
                 col += 1
-            for i in range(max(1, high)):
-                for j in range(max(1, wide)):
-                    taken[row + i, col + j] = text if not i and not j else fill if i else ""
-            col += max(1, wide)
-        out = [(*(table[k].iloc[0] for k in keys), r, c, t) for (r, c), t in sorted(taken.items())]
-        return pd.DataFrame(out, columns=[*keys, "row", "col", "text"])
+            for i in range(high):
+                for j in range(wide):
+                    taken[row + i, col + j] = cell["text"] if not i and not j else fill if i else ""
+            col += wide
+        return [(r, c, text) for (r, c), text in taken.items()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            placed = [place(cells) for cells in batch.column(len(keys)).to_pylist()]
+            owner = pa.array([i for i, x in enumerate(placed) for _ in x], pa.int64())
+            row, col, text = zip(*(x for p in placed for x in p), strict=True) if len(owner) else ((), (), ())
+            columns = [*(batch.column(i).take(owner) for i in range(len(keys))), pa.array(row, pa.int32()), pa.array(col, pa.int32()), pa.array(text, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "row", "col", "text"])
 
     kinds = dict(cells.dtypes)
-    return cells.groupBy(*keys).applyInPandas(place, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "`row` int", "col int", "text string"]))
+    whole = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("row").cast("int").alias("row"), "ord", F.col("row_span").cast("int").alias("row_span"), F.col("col_span").cast("int").alias("col_span"), F.col("text").cast("string").alias("text")))).alias("cells"))
+    return whole.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "`row` int", "col int", "text string"]))
 
 
 def null_spans(cells: DataFrame, keys: list[str], col: str = "col_idx", value: str = "value") -> DataFrame:

@@ -98,11 +98,9 @@ def first_json(rows: DataFrame, column: str = "raw") -> DataFrame:
 
     Where a value ends depends on its nesting, which no pattern can follow.
     """
-    decode = json.JSONDecoder().raw_decode
-
     def first(text: str | None) -> str | None:
         try:
-            return json.dumps(decode(text)[0], ensure_ascii=False) if text else None
+            return json.dumps(json.JSONDecoder().raw_decode(text)[0], ensure_ascii=False) if text else None
         except ValueError:
             return None
 

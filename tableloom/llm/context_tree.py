@@ -304,7 +304,7 @@ def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int
         key, n = gather(table, "keys").view(U), gather(table, "n")
         x = grow(key[n > 0], n[n > 0], depth, 2)[-1]
         ids, at = np.unique(x.ids & U(0xFFFF), return_inverse=True)
-        a, b, pw = (np.bincount(at, y, len(ids)) for y in (x.a, x.b, x.pw))
+        a, b, pw = (np.bincount(at, y, len(ids)).astype(float) for y in (x.a, x.b, x.pw))
         return pa.table({"c1": pa.array((ids >> U(8)).astype(np.int32)), "node": pa.array((ids & U(255)).astype(np.int32)), "a": a, "b": b, "pw": pw})
 
     low = grams.groupBy("tree").applyInArrow(sums, "c1 int, node int, a double, b double, pw double")

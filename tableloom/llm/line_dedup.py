@@ -6,10 +6,11 @@ earlier line is itself removed makes no difference, so the result depends on no
 than min_words distinct words (closing braces, "Yes.") take no part.
 
 Words are ordered by rarity.  Exact frequencies of an open vocabulary have no size bound, so rarity is that of a
-fixed table of 2^18 hash buckets, counted over every word of the corpus: an upper bound of the word's own
-frequency, in one array of 2 MB whatever the corpus holds.  A word's code is the rank of its bucket followed by
-the rest of its hash, which is again a 64-bit bijection of the hash, so a line sorted by code is sorted by rarity
-and loses nothing.  Lines of s words that match share one of their s - ceil(t * s) + 1 rarest words.
+fixed table of 2^22 hash buckets, counted over every word of the corpus: an upper bound of the word's own
+frequency.  The table holds the logarithms of the counts in a byte each, 4 MB whatever the corpus holds.  A word's
+code is its bucket's byte followed by 56 bits of its hash, so a line sorted by code is sorted by rarity.  Lines of s
+words that match share one of their s - ceil(t * s) + 1 rarest words; of those, a word whose bucket has one
+occurrence in the whole corpus can't be the shared one and is passed over.
 
 Equal lines collapse to their first one before anything is joined.
 """
@@ -21,14 +22,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tableloom.llm import wordscan as ws
+from tableloom.llm.linking import sized
 from tableloom.scratch import Scratch
 
 U = np.uint64
-BITS = 18
-SKETCH = 2  # longs of a line's parity sketch
+BITS = 22
+SLICES = 32  # of the bucket table, summed apart
 LINE = "doc_id long, line_no int"
 
 
@@ -43,27 +46,35 @@ class Similar:
         return F.ceil(sizes * self.num / (self.num + self.den))
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences of words by hash bucket, over all texts; the driver gets one number per bucket."""
+def bucket_of(h: np.ndarray) -> np.ndarray:
+    return (h & U((1 << BITS) - 1)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
+
+def rarities(docs: DataFrame) -> np.ndarray:
+    """A byte per hash bucket: eight times the binary logarithm of its words' occurrences in all texts, 0 for one."""
+    width = (1 << BITS) // SLICES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BITS, np.int32)
         for batch in batches:
             for _, _, data, at in ws.chunks(batch.column(0)):
-                total += np.bincount((ws.hashes(data, *ws.words(data, at)) & U((1 << BITS) - 1)).astype(np.int64), minlength=1 << BITS)
+                got, n = np.unique(bucket_of(ws.hashes(data, *ws.words(data, at))), return_counts=True)
+                total[got] += n.astype(np.int32)
         full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], ["bucket", "n"])
-
-    out = np.zeros(1 << BITS, np.int64)
-    rows = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return out
-
-
-def ranks(counts: np.ndarray) -> np.ndarray:
-    """Each bucket's place by rarity."""
-    out = np.empty(len(counts), U)
-    out[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=U)
+        ends = np.searchsorted(full, np.arange(SLICES + 1) * width).astype(np.int32)
+        column = lambda x: pa.ListArray.from_arrays(pa.array(ends), pa.array(x, pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), column(full), column(total[full])], ["slice", "buckets", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        k, total = table["slice"][0].as_py(), np.zeros(width, np.int64)
+        for buckets, n in zip(table["buckets"], table["n"], strict=True):
+            total[buckets.values.to_numpy() - k * width] += n.values.to_numpy()
+        return pa.table({"slice": pa.array([k], pa.int32()), "logs": pa.array([np.minimum(255, np.rint(8 * np.log2(np.maximum(total, 1)))).astype(np.uint8).tobytes()])})
+
+    out = np.zeros(1 << BITS, np.uint8)
+    counts = docs.select("text").mapInArrow(count, "slice int, buckets array<int>, n array<int>")
+    for row in counts.groupBy("slice").applyInArrow(add, "slice int, logs binary").toArrow().to_pylist():
+        out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["logs"], np.uint8)
     return out
 
 
@@ -86,7 +97,7 @@ class Lines:
         self.line_no = np.arange(self.n) - first[self.doc]
         begin, end = ws.words(data, at)
         h = ws.hashes(data, begin, end)
-        code = (rank[(h & U((1 << BITS) - 1)).astype(np.int64)] << U(64 - BITS)) | (h >> U(BITS))
+        code = (rank[bucket_of(h)].astype(U) << U(56)) | (ws.mix(h) >> U(8))
         line = self._line_of(begin, starts)
         order = np.lexsort((code, line))
         code, line = code[order], line[order]
@@ -103,46 +114,52 @@ class Lines:
         run = np.r_[U(0), np.cumsum(values, dtype=U)]
         return run[self.first[1:]] - run[self.first[:-1]]
 
-    def sketch(self) -> list[np.ndarray]:
-        """The parity of the words that fall on each of 128 bits."""
-        bit = ws.mix(self.code ^ U(0x77)) & U(64 * SKETCH - 1)
-        out = []
-        for k in range(SKETCH):
-            one = np.where(bit >> U(6) == U(k), U(1) << (bit & U(63)), U(0))
-            run = np.r_[U(0), np.bitwise_xor.accumulate(one)] if len(one) else np.zeros(1, U)
-            out.append(run[self.first[1:]] ^ run[self.first[:-1]])
-        return out
+    def sketch(self) -> np.ndarray:
+        """The parity of the words that fall on each of 64 bits."""
+        run = np.r_[U(0), np.bitwise_xor.accumulate(U(1) << (ws.mix(self.code ^ U(0x77)) & U(63)))] if len(self.code) else np.zeros(1, U)
+        return run[self.first[1:]] ^ run[self.first[:-1]]
 
 
-def describe(docs: DataFrame, rank: np.ndarray, s: Similar) -> DataFrame:
-    """One row for each line that takes part: its place, size, fingerprint (a, b), sketch and rarest words."""
+def describe(docs: DataFrame, rank: Broadcast, s: Similar) -> DataFrame:
+    """One row for each line that takes part: its place, size, fingerprint (a, b), sketch, and its rarest words.
+
+    Of the equal lines of a run of texts all but the first are marked as copies and have no words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, _, data, at in ws.chunks(batch.column(1)):
-                x = Lines(data, at, rank)
+            ids = batch.column(0).to_numpy()
+            for lo, hi, data, at in ws.chunks(batch.column(1)):
+                x = Lines(data, at, rank.value)
                 keep = np.flatnonzero(x.size >= s.min_words)
                 if not len(keep):
                     continue
-                size = x.size[keep]
-                many = size - -(-size * s.num // s.den) + 1
-                ends = np.cumsum(many)
-                prefix = x.code[np.repeat(x.first[keep] - np.r_[0, ends[:-1]], many) + np.arange(ends[-1])]
-                a, b = x.total(ws.mix(x.code)), x.total(ws.mix(x.code ^ U(0xA5A5A5A5A5A5A5A5)))
-                columns = [batch.column(0).take(pa.array(x.doc[keep] + lo)), pa.array(x.line_no[keep].astype(np.int32)), pa.array(size.astype(np.int32)), *(pa.array(ws.signed(y[keep])) for y in (a, b, *x.sketch())), pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ws.signed(prefix)))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "size", "a", "b", "s0", "s1", "rare"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").mapInArrow(run, f"{LINE}, size int, a long, b long, s0 long, s1 long, rare array<long>")
-
-
-def line_sets(docs: DataFrame, rank: np.ndarray) -> DataFrame:
+                doc, number, size = ids[lo:hi][x.doc[keep]], x.line_no[keep], x.size[keep]
+                a, b = x.total(ws.mix(x.code))[keep], x.total(ws.mix(x.code ^ U(0xA5A5A5A5A5A5A5A5)))[keep]
+                order = np.lexsort((number, doc, b, a))
+                new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
+                head = np.empty(len(keep), np.int64)
+                head[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                first = head == np.arange(len(keep))
+                copy = ~first & ~((doc == doc[head]) & (number == number[head]))
+                many = np.where(first, size - -(-size * s.num // s.den) + 1, 0)
+                ends = np.r_[0, np.cumsum(many)]
+                prefix = x.code[np.repeat(x.first[keep] - ends[:-1], many) + np.arange(ends[-1])]
+                columns = [pa.array(doc), pa.array(number.astype(np.int32)), pa.array(size.astype(np.int32)), *(pa.array(ws.signed(y)) for y in (a, b, x.sketch()[keep])), pa.array(copy), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ws.signed(prefix)))]
+                some = pa.array(first | copy)
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "size", "a", "b", "sketch", "copy", "rare"]).filter(some)
+
+    return docs.filter("doc_id is not null").mapInArrow(run, f"{LINE}, size int, a long, b long, sketch long, copy boolean, rare array<long>")
+
+
+def line_sets(docs: DataFrame, rank: Broadcast) -> DataFrame:
     """The word codes of the lines that docs (doc_id, text, wanted array<int>) asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(2)
             for lo, hi, data, at in ws.chunks(batch.column(1)):
-                x = Lines(data, at, rank)
+                x = Lines(data, at, rank.value)
                 first = np.searchsorted(x.doc, np.arange(hi - lo))
                 part = wanted.slice(lo, hi - lo)
                 owner = np.repeat(np.arange(hi - lo), part.value_lengths().to_numpy(zero_copy_only=False))
@@ -166,34 +183,40 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rank = ranks(bucket_counts(docs))
-    lines = scratch.save(describe(docs, rank, s), "lines")
+    rank = spark.sparkContext.broadcast(rarities(docs))
     at = F.struct("doc_id", "line_no")
-    kinds = lines.groupBy("a", "b").agg(F.min(at).alias("at"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("size", "s0", "s1", "rare")))
-    kinds = scratch.save(kinds, "kinds")
-    copies = lines.join(kinds.filter("n > 1").select("a", "b", "at"), ["a", "b"]).filter(at != F.col("at")).select("doc_id", "line_no")
+    lines = scratch.save(describe(docs, rank, s), "lines")
+    w = W.partitionBy("a", "b").orderBy("doc_id", "line_no")
+    firsts = lines.filter("not copy").select(at.alias("at"), "size", "sketch", "rare", F.first(at).over(w).alias("head"), F.row_number().over(w).alias("n"))
+    kinds = scratch.save(firsts, "kinds")
+    copies = lines.filter("copy").select("doc_id", "line_no").unionByName(kinds.filter("n > 1 and at <> head").select("at.doc_id", "at.line_no"))
     copies = scratch.save(copies, "copies")
     scratch.drop("lines")
-
-    # Lines by each of their rarest words; pos is the word's place in the line.
-    rows = kinds.select("at", "size", "s0", "s1", F.posexplode("rare").alias("pos", "word"))
-    w = W.partitionBy("word")
-    rows = rows.withColumn("n", F.count("*").over(w)).filter("n > 1").withColumn("p", F.min(F.struct("at", "size", "s0", "s1", "pos")).over(w))
-    rows = scratch.save(rows.drop("n"), "rows")
-
-    def close(x: str, y: str) -> Column:
-        """Length, positional and sketch filters of two rows of a word, given the prefixes of their columns."""
-        c = lambda p, k: F.col(f"{p}{k}")
-        sizes = c(x, "size") + c(y, "size")
-        rest = F.least(c(x, "size") - c(x, "pos"), c(y, "size") - c(y, "pos"))
-        apart = F.bit_count(c(x, "s0").bitwiseXOR(c(y, "s0"))) + F.bit_count(c(x, "s1").bitwiseXOR(c(y, "s1")))
-        return (F.least(c(x, "size"), c(y, "size")) * s.den >= F.greatest(c(x, "size"), c(y, "size")) * s.num) & (rest >= s.shared(sizes)) & (apart <= sizes - 2 * s.shared(sizes))
+    scratch.release()
+
+    # Lines by each of their rarest words that occurs again; pos is the word's place in the line.
+    rows = kinds.filter("n = 1").select("at", F.posexplode("rare").alias("pos", "word"), "size", "sketch")
+    rows = rows.filter(F.shiftrightunsigned("word", 56) > 0)
+    line = F.struct("at", "size", "sketch", "pos").alias("x")
+    v = W.partitionBy("word").orderBy("x")
+    rows = rows.select("word", line).select("word", "x", F.first("x").over(v).alias("p"), F.lead("x").over(v).isNotNull().alias("more"))
+    rows = scratch.save(rows.filter("more or x <> p"), "rows")
+    scratch.drop("kinds")
+    scratch.release()
+
+    def close(x: Column, y: Column) -> Column:
+        """Length, positional and sketch filters of two rows of a word."""
+        sizes = x["size"] + y["size"]
+        rest = F.least(x["size"] - x["pos"], y["size"] - y["pos"])
+        apart = F.bit_count(x["sketch"].bitwiseXOR(y["sketch"]))
+        return (F.least(x["size"], y["size"]) * s.den >= F.greatest(x["size"], y["size"]) * s.num) & (rest >= s.shared(sizes)) & (apart <= sizes - 2 * s.shared(sizes))
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """The later lines of the pairs (u, v), u earlier, whose whole sets match."""
         pairs = scratch.save(pairs.distinct(), f"pairs-{name}")
         ends = pairs.select(F.explode(F.array("u", "v")).alias("at")).select("at.doc_id", "at.line_no").distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
-        sets = scratch.save(line_sets(docs.join(ends, "doc_id"), rank).select(F.struct("doc_id", "line_no").alias("at"), "codes"), f"sets-{name}")
+        ends = scratch.save(ends, f"ends-{name}")
+        sets = scratch.save(line_sets(docs.join(sized(ends), "doc_id"), rank).select(F.struct("doc_id", "line_no").alias("at"), "codes"), f"sets-{name}")
         side = lambda k: sets.select(F.col("at").alias(k), F.col("codes").alias(f"e{k}"))
         common = F.size(F.array_intersect("eu", "ev"))
         found = pairs.join(side("v"), "v").join(side("u"), "u").filter(common * s.den >= (F.size("eu") + F.size("ev") - common) * s.num)
@@ -201,10 +224,11 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
 
     # First against the earliest line of the word only, which settles most lines of a large group of near copies;
     # then whatever is still unmatched against all earlier lines of the word, the filters inside the join.
-    done = verify(rows.filter(F.col("p.at") < F.col("at")).filter(close("", "p.")).select(F.col("p.at").alias("u"), F.col("at").alias("v")), "first")
-    later = rows.join(done, rows["at"] == done["v"], "left_anti").select("word", *(F.col(c).alias(f"y_{c}") for c in ("at", "size", "s0", "s1", "pos")))
-    early = rows.select("word", *(F.col(c).alias(f"x_{c}") for c in ("at", "size", "s0", "s1", "pos")))
-    pairs = later.join(early, (later["word"] == early["word"]) & (F.col("x_at") < F.col("y_at")) & close("x_", "y_")).select(F.col("x_at").alias("u"), F.col("y_at").alias("v"))
+    x, p = F.col("x"), F.col("p")
+    done = verify(rows.filter((p["at"] < x["at"]) & close(x, p)).select(p["at"].alias("u"), x["at"].alias("v")), "first")
+    later = rows.join(sized(done), rows["x.at"] == done["v"], "left_anti").select(F.col("word").alias("k"), x.alias("y"))
+    early = rows.select("word", "x")
+    pairs = later.join(early, (F.col("k") == F.col("word")) & (F.col("x.at") < F.col("y.at")) & close(F.col("x"), F.col("y"))).select(F.col("x.at").alias("u"), F.col("y.at").alias("v"))
     near = done.unionByName(verify(pairs, "rest")).select("v.doc_id", "v.line_no")
     # A kind's first line that matches an earlier kind takes its copies with it: they are removed as copies anyway.
     return copies.unionByName(near).distinct()

@@ -32,6 +32,7 @@ U = np.uint64
 GRAM, WORD = 0, 1
 PART_KEYS = 1_000_000  # keys of all blocks that a part holds, about
 TREE_KEYS = 200_000  # distinct n-grams whose trees one task grows, about
+CHUNK = 1 << 19  # bytes of text whose n-grams are made at a time
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -185,16 +186,16 @@ def block_keys(texts: pa.Table, depth: int) -> list[tuple[np.ndarray, np.ndarray
     """Of a block's texts (text, learn): sorted n-grams and sorted words, with their counts in the texts to learn from."""
     learn = texts["learn"].combine_chunks().to_numpy(zero_copy_only=False)
     held: list[list] = [[], []]
-    for lo, hi, data, at in ws.chunks(texts["text"]):
+    for lo, hi, data, at in ws.chunks(texts["text"], CHUNK):
         x, mine = Stream(data, at, depth), learn[lo:hi]
         for kind, (key, doc) in enumerate(((x.code, x.doc), (x.word, x.word_doc))):
             known = mine[doc]
             got, n = run_lengths(key[known])
             other, zero = run_lengths(key[~known])
-            held[kind] += [(got, n), (other, zero * 0)]
-        if len(held[0]) > 12:
+            held[kind] += [(got, n.astype(np.int32)), (other, np.zeros(len(other), np.int32))]
+        if len(held[0]) > 24:
             held = [[count_keys(h)] for h in held]
-    return [count_keys(h) if h else (np.zeros(0, U), np.zeros(0, np.int64)) for h in held]
+    return [count_keys(h) if h else (np.zeros(0, U), np.zeros(0, np.int32)) for h in held]
 
 
 def count_block(depth: int, parts: int) -> Callable[[pa.Table], pa.Table]:
@@ -257,7 +258,7 @@ def score_block(depth: int, parts: int, tokens: float, kinds: float, ends: int)
             tables.append((key, value))
         out: list[list[np.ndarray]] = [[], [], [], [], []]
         unit = np.log10(tokens + kinds + 1)
-        for lo, hi, data, at in ws.chunks(texts["text"]):
+        for lo, hi, data, at in ws.chunks(texts["text"], CHUNK):
             x, n = Stream(data, at, depth), hi - lo
             score = np.bincount(x.doc, tables[GRAM][1][np.searchsorted(tables[GRAM][0], x.code)], n)
             c = tables[WORD][1][np.searchsorted(tables[WORD][0], x.word)] if len(x.word) else np.zeros(0)
@@ -271,7 +272,7 @@ def score_block(depth: int, parts: int, tokens: float, kinds: float, ends: int)
     return run
 
 
-def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 24 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 16 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     learn: which rows the model may learn from; held_out is its negation.  score is log10 of the model's

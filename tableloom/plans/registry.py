@@ -33,5 +33,5 @@ def query(name: str, sql: str | None = None) -> Callable:
     return put
 
 
-for module in ("values", "documents", "structure", "comparison", "summaries"):
+for module in ("values", "documents", "pages", "structure", "comparison", "summaries"):
     import_module(f"tableloom.plans.{module}")

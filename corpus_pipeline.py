@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier line go, and documents of which nothing else is left."""
-    return dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORDS)).select(docs.columns)
+    return dedup_lines(docs, counts=("_lines", "_removed")).filter((F.col("_removed") == 0) | F.col("text").rlike(WORDS)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document is there as often as the mix takes it."""
-    copies = mix(docs).filter("copies > 0").select("doc_id", "copies")
-    repeated = docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    copies = mix(docs).filter("copies > 0").select("doc_id", F.col("copies").alias("_copies"))
+    repeated = docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(docs.columns)
 
 

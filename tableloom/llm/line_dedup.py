@@ -234,17 +234,17 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     return copies.unionByName(near).distinct()
 
 
-def dedup_lines(docs: DataFrame, s: Similar | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, s: Similar | None = None, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """docs without the lines of their text that match an earlier line; all rows, columns and their order stay.
 
-    Adds n_lines and n_removed.  The kept lines keep their text and order; a text all of whose lines go is empty, a
+    Adds n_lines and n_removed, or what counts names; docs' own columns of those names go.  The kept lines keep their text and order; a text all of whose lines go is empty, a
     null text stays null, a row without doc_id stays as it is.
     """
-    gone = later_matches(docs, s).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    gone = later_matches(docs, s).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone")).withColumnsRenamed({"doc_id": "_gone_id", "gone": "_gone"})
     lines = F.split("text", "\n", -1)
-    spared = F.filter(lines, lambda _, i: ~F.array_contains("gone", i))
-    out = docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left").drop(gone["doc_id"])
+    spared = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))
+    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone_id"], "left")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    n_gone = F.when(F.col("gone").isNull() | F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(spared)).cast("long")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(spared, "\n"))
-    return out.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns), n_lines.alias("n_lines"), n_gone.alias("n_removed"))
+    n_gone = F.when(F.col("_gone").isNull() | F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(spared)).cast("long")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(spared, "\n"))
+    return out.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns if c not in counts), n_lines.alias(counts[0]), n_gone.alias(counts[1]))

@@ -12,18 +12,23 @@ code is its bucket's byte followed by 56 bits of its hash, so a line sorted by c
 words that match share one of their s - ceil(t * s) + 1 rarest words; of those, a word whose bucket has one
 occurrence in the whole corpus can't be the shared one and is passed over.
 
-Equal lines collapse to their first one before anything is joined.
+Lines meet by word in parts of hashed words, which get arrays, not rows: a part's task sorts them by word and tests
+all later against earlier lines of a word by length, by what can still be shared from the word's places on, and by
+the Hamming distance of 64-bit parity sketches of the lines.  Words of very many lines are compared with leading
+lines first, and only what these leave over with all.  A task names the most likely earlier lines of a line, not
+all; the whole sets of those are compared exactly, and a line with further candidates that none of them settled
+gets all its candidates in a second pass.  Equal lines of a run of texts are settled before anything is sent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tableloom.llm import wordscan as ws
 from tableloom.llm.linking import sized
@@ -33,6 +38,10 @@ U = np.uint64
 BITS = 22
 SLICES = 32  # of the bucket table, summed apart
 LINE = "doc_id long, line_no int"
+DEALT = "part long, words array<long>, docs array<long>, numbers array<int>, sizes array<int>, places array<int>, sketches array<long>, asks array<byte>"
+PART_BYTES = 8 << 20  # of text whose words one part takes, about
+LEAD, LEADERS = 2048, 16  # lines of a word from which on leading lines are compared first, and how many
+BEST = 2  # candidates of a line that a part names in the first pass
 
 
 @dataclass(frozen=True)
@@ -41,10 +50,6 @@ class Similar:
     den: int = 5
     min_words: int = 5
 
-    def shared(self, sizes: Column) -> Column:
-        """The least overlap of two matching sets whose sizes add up to this."""
-        return F.ceil(sizes * self.num / (self.num + self.den))
-
 
 def bucket_of(h: np.ndarray) -> np.ndarray:
     return (h & U((1 << BITS) - 1)).astype(np.int64)
@@ -120,10 +125,11 @@ class Lines:
         return run[self.first[1:]] ^ run[self.first[:-1]]
 
 
-def describe(docs: DataFrame, rank: Broadcast, s: Similar) -> DataFrame:
-    """One row for each line that takes part: its place, size, fingerprint (a, b), sketch, and its rarest words.
+def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int) -> DataFrame:
+    """docs (doc_id, text, wanted array<int>) as arrays of line places by part of their rarest words.
 
-    Of the equal lines of a run of texts all but the first are marked as copies and have no words.
+    Of the equal lines of a run of texts the first is sent; the others are removed at once, in part -1, unless a
+    list of wanted lines restricts the search to those.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,21 +141,120 @@ def describe(docs: DataFrame, rank: Broadcast, s: Similar) -> DataFrame:
                 if not len(keep):
                     continue
                 doc, number, size = ids[lo:hi][x.doc[keep]], x.line_no[keep], x.size[keep]
-                a, b = x.total(ws.mix(x.code))[keep], x.total(ws.mix(x.code ^ U(0xA5A5A5A5A5A5A5A5)))[keep]
-                order = np.lexsort((number, doc, b, a))
-                new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
-                head = np.empty(len(keep), np.int64)
-                head[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-                first = head == np.arange(len(keep))
-                copy = ~first & ~((doc == doc[head]) & (number == number[head]))
+                part = batch.column(2).slice(lo, hi - lo)
+                if part.null_count < len(part):  # a second pass
+                    asked = {(d, i) for d, own in zip(ids[lo:hi].tolist(), part.to_pylist(), strict=True) for i in own or ()}
+                    asks = np.fromiter(((d, i) in asked for d, i in zip(doc.tolist(), number.tolist(), strict=True)), bool, len(doc))
+                    first, copy = np.ones(len(doc), bool), np.zeros(len(doc), bool)
+                else:
+                    a, b = x.total(ws.mix(x.code))[keep], x.total(ws.mix(x.code ^ U(0xA5A5A5A5A5A5A5A5)))[keep]
+                    order = np.lexsort((number, doc, b, a))
+                    new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
+                    head = np.empty(len(keep), np.int64)
+                    head[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                    first = head == np.arange(len(keep))
+                    copy = ~first & ~((doc == doc[head]) & (number == number[head]))
+                    asks = first
                 many = np.where(first, size - -(-size * s.num // s.den) + 1, 0)
                 ends = np.r_[0, np.cumsum(many)]
-                prefix = x.code[np.repeat(x.first[keep] - ends[:-1], many) + np.arange(ends[-1])]
-                columns = [pa.array(doc), pa.array(number.astype(np.int32)), pa.array(size.astype(np.int32)), *(pa.array(ws.signed(y)) for y in (a, b, x.sketch()[keep])), pa.array(copy), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ws.signed(prefix)))]
-                some = pa.array(first | copy)
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "size", "a", "b", "sketch", "copy", "rare"]).filter(some)
-
-    return docs.filter("doc_id is not null").mapInArrow(run, f"{LINE}, size int, a long, b long, sketch long, copy boolean, rare array<long>")
+                owner = np.repeat(np.arange(len(keep)), many)
+                pos = np.arange(ends[-1]) - ends[:-1][owner]
+                word = x.code[x.first[keep][owner] + pos]
+                again = word >> U(56) > 0
+                owner, pos, word = owner[again], pos[again], word[again]
+                to = (ws.mix(word) % U(parts)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                owner, pos, word, to = owner[order], pos[order], word[order], to[order]
+                gone = np.flatnonzero(copy)
+                bounds = np.searchsorted(to, np.arange(parts + 1)) + len(gone)
+                none = np.zeros(len(gone), np.int64)
+                rows = np.r_[gone, owner]
+                cut = np.unique(np.r_[0, bounds]).astype(np.int32)
+                name = np.r_[none - 1, to][cut[:-1]]
+                column = lambda y, kind: pa.ListArray.from_arrays(pa.array(cut), pa.array(y, kind))
+                yield pa.RecordBatch.from_arrays([pa.array(name), column(ws.signed(np.r_[none.astype(U), word]), pa.int64()), column(doc[rows], pa.int64()), column(number[rows].astype(np.int32), pa.int32()), column(size[rows].astype(np.int32), pa.int32()), column(np.r_[none, pos].astype(np.int32), pa.int32()), column(ws.signed(x.sketch()[keep][rows]), pa.int64()), column(asks[rows].astype(np.int8), pa.int8())], [f.split()[0] for f in DEALT.split(", ")])
+
+    return docs.filter("doc_id is not null").mapInArrow(run, DEALT)
+
+
+class Meeting:
+    """The lines of some words, sorted by word and place, and which pairs of them may match."""
+
+    def __init__(self, columns: list[np.ndarray], s: Similar):
+        word, doc, number, size, pos, sketch, asks = columns
+        order = np.lexsort((number, doc, word))
+        self.s, self.word, self.doc, self.number = s, word[order], doc[order], number[order]
+        self.size, self.rest = size[order].astype(np.int64), (size - pos)[order].astype(np.int64)
+        self.sketch, self.asks = sketch.view(U)[order], asks[order] > 0
+        first = np.flatnonzero(np.r_[True, self.word[1:] != self.word[:-1]]) if len(word) else np.zeros(0, np.int64)
+        self.begin, self.end = first, np.r_[first[1:], len(word)].astype(np.int64)
+
+    def close(self, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pairs those that pass the filters, with the Hamming distance of their sketches."""
+        num, den = self.s.num, self.s.den
+        a, b = self.size[u], self.size[v]
+        shared = -(-(a + b) * num // (num + den))
+        ok = np.flatnonzero((np.minimum(a, b) * den >= np.maximum(a, b) * num) & (np.minimum(self.rest[u], self.rest[v]) >= shared))
+        u, v = u[ok], v[ok]
+        apart = np.bitwise_count(self.sketch[u] ^ self.sketch[v]).astype(np.int64)
+        ok = (apart <= (a + b - 2 * shared)[ok]) & ((self.doc[u] != self.doc[v]) | (self.number[u] != self.number[v]))
+        return u[ok], v[ok], apart[ok]
+
+    def pairs(self, lead_from: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+        """Pairs that pass, u earlier, and whether that is all that v was compared with.
+
+        A word of more than lead_from lines is met by leading lines first: a line that passes with one waits for the
+        exact comparison; all others meet every line before them.
+        """
+        count = self.end - self.begin
+        small = count <= lead_from
+        last = np.repeat(np.where(small, self.end, self.begin), count)  # of each line's word
+        active, step = np.arange(len(last)), 1
+        while len(active):
+            active = active[active + step < last[active]]
+            for i in range(0, len(active), 1 << 20):
+                u = active[i : i + (1 << 20)]
+                u = u[self.asks[u + step]]
+                yield (*self.close(u, u + step), False)
+            step += 1
+        for begin, end in zip(self.begin[~small], self.end[~small], strict=True):
+            rest = np.arange(begin + 1, end)
+            rest, lead = rest[self.asks[rest]], begin
+            for _ in range(LEADERS):
+                found = self.close(np.full(len(rest), lead), rest)
+                yield (*found, True)
+                rest = np.setdiff1d(rest, found[1], assume_unique=True)
+                if not len(rest):
+                    break
+                lead, rest = rest[0], rest[1:]
+                yield (*self.close(np.arange(begin, lead), np.full(lead - begin, lead)), False)
+            for v in rest:
+                yield (*self.close(np.arange(begin, v), np.full(v - begin, v)), False)
+
+
+def meet(s: Similar, best: int | None) -> Callable[[pa.Table], pa.Table]:
+    """Pairs (u, v), u earlier, of a part's lines that may match: for each v the best ones, or all."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = [np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table[name].chunks]) for name in (f.split()[0] for f in DEALT.split(", ")[1:])]
+        if table["part"][0].as_py() < 0:
+            none = pa.nulls(len(columns[0]), pa.int64())
+            return pa.table({"u_doc": none, "u_line": none.cast(pa.int32()), "v_doc": columns[1], "v_line": columns[2], "more": np.zeros(len(columns[1]), bool)})
+        x = Meeting(columns, s)
+        found = [(u, v, apart, np.full(len(u), partly)) for u, v, apart, partly in x.pairs(LEAD if best else len(columns[0])) if len(u)]
+        u, v, apart, partly = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
+        place = np.unique(np.stack([x.doc[v], x.number[v].astype(np.int64)], 1), axis=0, return_inverse=True)[1].reshape(-1) if len(v) else v
+        order = np.lexsort((u, apart, place))
+        u, v, place, partly = u[order], v[order], place[order], partly[order].astype(bool)
+        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(v) else v
+        count = np.diff(np.r_[first, len(v)])
+        nth = np.arange(len(v)) - np.repeat(first, count)
+        more = np.repeat((count > (best or len(v))) | (np.logical_or.reduceat(partly, first) if len(v) else partly), count)
+        take = nth < (best or len(v))
+        u, v, more = u[take], v[take], more[take]
+        return pa.table({"u_doc": x.doc[u], "u_line": x.number[u], "v_doc": x.doc[v], "v_line": x.number[v], "more": more})
+
+    return run
 
 
 def line_sets(docs: DataFrame, rank: Broadcast) -> DataFrame:
@@ -184,36 +289,17 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     scratch = Scratch(spark, "line-dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rank = spark.sparkContext.broadcast(rarities(docs))
-    at = F.struct("doc_id", "line_no")
-    lines = scratch.save(describe(docs, rank, s), "lines")
-    w = W.partitionBy("a", "b").orderBy("doc_id", "line_no")
-    firsts = lines.filter("not copy").select(at.alias("at"), "size", "sketch", "rare", F.first(at).over(w).alias("head"), F.row_number().over(w).alias("n"))
-    kinds = scratch.save(firsts, "kinds")
-    copies = lines.filter("copy").select("doc_id", "line_no").unionByName(kinds.filter("n > 1 and at <> head").select("at.doc_id", "at.line_no"))
-    copies = scratch.save(copies, "copies")
-    scratch.drop("lines")
-    scratch.release()
+    parts = max(4, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
+    fields = "u_doc long, u_line int, v_doc long, v_line int, more boolean"
+    place = lambda k: F.struct(F.col(f"{k}_doc").alias("doc_id"), F.col(f"{k}_line").alias("line_no")).alias(k)
 
-    # Lines by each of their rarest words that occurs again; pos is the word's place in the line.
-    rows = kinds.filter("n = 1").select("at", F.posexplode("rare").alias("pos", "word"), "size", "sketch")
-    rows = rows.filter(F.shiftrightunsigned("word", 56) > 0)
-    line = F.struct("at", "size", "sketch", "pos").alias("x")
-    v = W.partitionBy("word").orderBy("x")
-    rows = rows.select("word", line).select("word", "x", F.first("x").over(v).alias("p"), F.lead("x").over(v).isNotNull().alias("more"))
-    rows = scratch.save(rows.filter("more or x <> p"), "rows")
-    scratch.drop("kinds")
-    scratch.release()
-
-    def close(x: Column, y: Column) -> Column:
-        """Length, positional and sketch filters of two rows of a word."""
-        sizes = x["size"] + y["size"]
-        rest = F.least(x["size"] - x["pos"], y["size"] - y["pos"])
-        apart = F.bit_count(x["sketch"].bitwiseXOR(y["sketch"]))
-        return (F.least(x["size"], y["size"]) * s.den >= F.greatest(x["size"], y["size"]) * s.num) & (rest >= s.shared(sizes)) & (apart <= sizes - 2 * s.shared(sizes))
+    def candidates(docs: DataFrame, best: int | None, name: str) -> DataFrame:
+        met = deal(docs, rank, s, parts).groupBy("part").applyInArrow(meet(s, best), fields)
+        return scratch.save(met.select(place("u"), place("v"), "more"), name)
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """The later lines of the pairs (u, v), u earlier, whose whole sets match."""
-        pairs = scratch.save(pairs.distinct(), f"pairs-{name}")
+        pairs = scratch.save(pairs.select("u", "v").distinct(), f"pairs-{name}")
         ends = pairs.select(F.explode(F.array("u", "v")).alias("at")).select("at.doc_id", "at.line_no").distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
         ends = scratch.save(ends, f"ends-{name}")
         sets = scratch.save(line_sets(docs.join(sized(ends), "doc_id"), rank).select(F.struct("doc_id", "line_no").alias("at"), "codes"), f"sets-{name}")
@@ -222,16 +308,17 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
         found = pairs.join(side("v"), "v").join(side("u"), "u").filter(common * s.den >= (F.size("eu") + F.size("ev") - common) * s.num)
         return scratch.save(found.select("v").distinct(), f"found-{name}")
 
-    # First against the earliest line of the word only, which settles most lines of a large group of near copies;
-    # then whatever is still unmatched against all earlier lines of the word, the filters inside the join.
-    x, p = F.col("x"), F.col("p")
-    done = verify(rows.filter((p["at"] < x["at"]) & close(x, p)).select(p["at"].alias("u"), x["at"].alias("v")), "first")
-    later = rows.join(sized(done), rows["x.at"] == done["v"], "left_anti").select(F.col("word").alias("k"), x.alias("y"))
-    early = rows.select("word", "x")
-    pairs = later.join(early, (F.col("k") == F.col("word")) & (F.col("x.at") < F.col("y.at")) & close(F.col("x"), F.col("y"))).select(F.col("x.at").alias("u"), F.col("y.at").alias("v"))
-    near = done.unionByName(verify(pairs, "rest")).select("v.doc_id", "v.line_no")
-    # A kind's first line that matches an earlier kind takes its copies with it: they are removed as copies anyway.
-    return copies.unionByName(near).distinct()
+    met = candidates(docs.withColumn("wanted", F.lit(None).cast("array<int>")), BEST, "met")
+    scratch.release()
+    settled = "u.doc_id is null"
+    gone = met.filter(settled).select("v").unionByName(verify(met.filter(f"not ({settled})"), "best"))
+    # Lines with more candidates than the best ones, none of which matched, meet all of them.
+    again = met.filter("more").select("v").distinct()
+    again = scratch.save(again.join(gone.distinct(), "v", "left_anti").groupBy("v.doc_id").agg(F.collect_list("v.line_no").alias("wanted")), "again")
+    if not again.isEmpty():
+        scratch.release()
+        gone = gone.unionByName(verify(candidates(docs.join(sized(again), "doc_id", "left").select("doc_id", "text", F.coalesce("wanted", F.array().cast("array<int>")).alias("wanted")), None, "met-again"), "again"))
+    return gone.select("v.doc_id", "v.line_no").distinct()
 
 
 def dedup_lines(docs: DataFrame, s: Similar | None = None, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:

@@ -272,7 +272,7 @@ def score_block(depth: int, parts: int, tokens: float, kinds: float, ends: int)
     return run
 
 
-def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 16 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int = 24 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     learn: which rows the model may learn from; held_out is its negation.  score is log10 of the model's

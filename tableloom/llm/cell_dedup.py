@@ -3,10 +3,12 @@
 Two unit vectors whose cosine is t or more are at most sqrt(2 - 2t) apart.  If their nearest centroids a and b
 differ, the hyperplane between a and b separates them, so one of them is at most half that distance from it.
 A vector therefore also joins every cell whose separating hyperplane is that near, and any two such vectors meet
-in at least one cell: none is lost at cell bounds.  A pair that meets in several cells counts in the first.
+in the own cell of at least one of them: none is lost at cell bounds.  A cell compares its own vectors with all that
+joined it; a vector's links count in its own cell, or in the partner's where the partner did not join it.
 
 Equal vectors collapse to one with a multiplicity first.  A cell that is larger than a block is split into blocks
 and its pairs of blocks are separate tasks; a task gives sums and a spanning forest of its links, never pairs.
+Products are taken in single precision, and those near the threshold or above it again in double precision.
 Only the centroids come from a bounded sample; they are as many as max_cells at most and go to every task.
 """
 
@@ -33,7 +35,7 @@ class Cells:
     max_cells: int = 1024
     sample: int = 16384
     iterations: int = 12
-    block: int = 4096
+    block: int = 16384
     seed: int = 5
 
 
@@ -60,14 +62,14 @@ def centroids(x: np.ndarray, k: int, c: Cells) -> np.ndarray:
     return means
 
 
-def cells_of(x: np.ndarray, means: np.ndarray, cosine: float) -> np.ndarray:
-    """Which cells each unit vector joins: its own, and those whose bound is near."""
+def cells_of(x: np.ndarray, means: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which cells each unit vector joins, its own and those whose bound is near, and its own."""
     near = x @ means.T
     home = near.argmax(1)
     apart = np.sqrt(np.maximum(2 - 2 * means @ means.T, 0))[home]
     joins = near[np.arange(len(x)), home][:, None] - near <= apart * (np.sqrt(2 - 2 * cosine) / 2 + 1e-9)
     joins[np.arange(len(x)), home] = True
-    return joins
+    return joins, home
 
 
 def bit_words(joins: np.ndarray) -> np.ndarray:
@@ -93,28 +95,25 @@ def merge(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
             parent[:] = up
 
 
-def linked(cell: int, same: bool, x: np.ndarray, half: np.ndarray, many: np.ndarray, words: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Per row: links that count in this cell, weighted by multiplicity, and the least row of its tree.
+def linked(cell: int, x: np.ndarray, left: np.ndarray, right: np.ndarray, home: np.ndarray, many: np.ndarray, words: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: links that count here, weighted by multiplicity, and the least row of its tree.
 
-    half: which of the two blocks a row is in; same: there is one block only.
+    left: rows whose own cell this is; right: rows that joined it.
     """
-    low = np.zeros(words.shape[1], U)  # of the cells before this one
-    low[: cell // 64] = ~U(0)
-    low[cell // 64] = (U(1) << U(cell % 64)) - U(1)
-    before = words & low
-    some = before.any(1)
-    left, right = (np.arange(len(x)),) * 2 if same else (np.flatnonzero(half == 0), np.flatnonzero(half == 1))
     links, parent = np.zeros(len(x), np.int64), np.arange(len(x))
-    y = x[right].T
-    for i in range(0, len(left), 256):
-        rows = left[i : i + 256]
-        a, b = np.nonzero(x[rows] @ y >= cosine)
+    single = x.astype(np.float32)
+    y = np.ascontiguousarray(single[right].T)
+    for i in range(0, len(left), 512):
+        rows = left[i : i + 512]
+        a, b = np.nonzero(single[rows] @ y >= np.float32(cosine - 1e-5))
         u, v = rows[a], right[b]
-        ok = u < v if same else np.ones(len(u), bool)
-        both = np.flatnonzero(some[u] & some[v] & ok)
-        ok[both[(before[u[both]] & before[v[both]]).any(1)]] = False  # they met in an earlier cell
+        u, v = u[u != v], v[u != v]
+        ok = np.concatenate([(x[u[j : j + 65536]] * x[v[j : j + 65536]]).sum(1) >= cosine for j in range(0, len(u), 65536)]) if len(u) else np.zeros(0, bool)
         u, v = u[ok], v[ok]
-        links += np.bincount(u, many[v], len(x)).astype(np.int64) + np.bincount(v, many[u], len(x)).astype(np.int64)
+        links += np.bincount(u, many[v], len(x)).astype(np.int64)
+        h = home[v]
+        alone = (h != cell) & ((words[u, h // 64] >> (h % 64).astype(U)) & U(1) == 0)  # u did not join v's own cell
+        links += np.bincount(v[alone], many[u[alone]], len(x)).astype(np.int64)
         merge(parent, u, v)
     return links, parent
 
@@ -123,8 +122,8 @@ def near_duplicates(vectors: DataFrame, c: Cells | None = None) -> DataFrame:
     """Per row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite components link with
-    nothing and are kept.  Copies of a vector link with each other, rows that repeat a vec_id included.  A row
-    without vec_id counts as a link of others, but is in no component and neither kept nor dropped: null.
+    nothing and are kept.  Copies of a vector link with each other, rows that repeat a vec_id included; of
+    different vectors under one vec_id one is compared, for all of them.  A row without vec_id counts as a link of others, but is in no component and neither kept nor dropped: null.
     """
     c = c or Cells()
     spark = vectors.sparkSession
@@ -146,33 +145,39 @@ def near_duplicates(vectors: DataFrame, c: Cells | None = None) -> DataFrame:
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                joins = cells_of(unit(matrix(batch.column(2))), means.value, c.cosine)
+                joins, home = cells_of(unit(matrix(batch.column(2))), means.value, c.cosine)
                 row, cell = np.nonzero(joins)
                 words = bit_words(joins)
                 masks = pa.ListArray.from_arrays(pa.array(np.arange(0, words.size + 1, words.shape[1], dtype=np.int32)), pa.array(words.reshape(-1).view(np.int64)))
+                own = pa.array(home[row].astype(np.int32))
                 row = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), *(x.take(row) for x in (batch.column(0), batch.column(1), masks, batch.column(2)))], ["cell", "id", "many", "cells", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), own, *(x.take(row) for x in (batch.column(0), batch.column(1), masks, batch.column(2)))], ["cell", "home", "id", "many", "cells", "embedding"])
 
     kind = dict(vectors.dtypes)["embedding"]
-    placed = scratch.save(kinds.select("id", "many", "embedding").mapInArrow(assign, f"cell int, id long, many long, cells array<long>, embedding {kind}"), "placed")
-    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # max_cells at most
-    blocks = F.create_map(*(F.lit(x) for cell, size in sizes.items() for x in (cell, -(-size // c.block)))) if sizes else F.create_map(F.lit(0), F.lit(1))
-    dealt = placed.withColumn("m", blocks[F.col("cell")]).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
-    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = dealt.select("cell", F.least("i", "j").alias("b0"), F.greatest("i", "j").alias("b1"), "i", "id", "many", "cells", "embedding")
+    placed = scratch.save(kinds.select("id", "many", "embedding").mapInArrow(assign, f"cell int, home int, id long, many long, cells array<long>, embedding {kind}"), "placed")
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.count_if(F.col("cell") == F.col("home")).alias("own")).collect()  # max_cells at most
+    by_cell = lambda k: F.create_map(*(F.lit(x) for r in sizes for x in (r["cell"], max(1, -(-r[k] // c.block)))))[F.col("cell")]
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    if sizes:
+        placed = placed.withColumn("m", by_cell("n")).withColumn("h", by_cell("own"))
+        right = placed.withColumn("j", part(F.col("m"))).withColumn("i", every(F.col("h"))).withColumn("left", F.lit(False))
+        left = placed.filter("cell = home").withColumn("i", part(F.col("h"))).withColumn("j", every(F.col("m"))).withColumn("left", F.lit(True))
+        dealt = left.unionByName(right)
+    else:
+        dealt = placed.withColumns({"i": F.lit(0), "j": F.lit(0), "left": F.lit(False)})
+    dealt = dealt.select("cell", "i", "j", "left", "home", "id", "many", "cells", "embedding")
 
     def compare(table: pa.Table) -> pa.Table:
-        cell, b0, b1 = (table[x][0].as_py() for x in ("cell", "b0", "b1"))
-        ids = table["id"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        table, ids = table.take(pa.array(order)), ids[order]
-        words = table["cells"].combine_chunks().flatten().to_numpy().view(U).reshape(len(ids), -1)
-        half = (table["i"].to_numpy() != b0).astype(int)
-        links, parent = linked(cell, b0 == b1, unit(matrix(table["embedding"])), half, table["many"].to_numpy(), words, c.cosine)
-        own = np.flatnonzero(links)
+        ids, first, row = np.unique(table["id"].to_numpy(), return_index=True, return_inverse=True)  # a row may be on both sides
+        is_left = table["left"].to_numpy(zero_copy_only=False)
+        one = table.take(pa.array(first))
+        words = one["cells"].combine_chunks().flatten().to_numpy().view(U).reshape(len(ids), -1)
+        links, parent = linked(table["cell"][0].as_py(), unit(matrix(one["embedding"])), row[is_left], row[~is_left], one["home"].to_numpy(), one["many"].to_numpy(), words, c.cosine)
+        own = np.flatnonzero((links > 0) | (parent != np.arange(len(ids))))
         return pa.table({"u": ids[own], "v": ids[parent[own]], "links": links[own]})
 
-    found = scratch.save(dealt.groupBy("cell", "b0", "b1").applyInArrow(compare, "u long, v long, links long"), "found")
+    found = scratch.save(dealt.groupBy("cell", "i", "j").applyInArrow(compare, "u long, v long, links long"), "found")
     scratch.drop("placed")
     comp = components(scratch, found.select("u", "v").filter("u <> v"), "comp")
     links = found.groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))

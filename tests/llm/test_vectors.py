@@ -76,7 +76,7 @@ def test_search_odd_rows(spark):
 
 
 def test_cells_lose_no_link(spark):
-    for seed, c in ((1, cd.Cells(rows_per_cell=40, block=64)), (2, cd.Cells(cosine=0.7, rows_per_cell=6, block=1000))):
+    for seed, c in ((1, cd.Cells(rows_per_cell=40, block=64)), (2, cd.Cells(cosine=0.7, rows_per_cell=6, block=50))):
         x = clustered(seed, 700)
         u = cd.unit(x)
         links = u @ u.T >= c.cosine

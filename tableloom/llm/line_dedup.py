@@ -14,7 +14,7 @@ occurrence in the whole corpus can't be the shared one and is passed over.
 
 Lines meet by word in parts of hashed words, which get arrays, not rows: a part's task sorts them by word and tests
 all later against earlier lines of a word by length, by what can still be shared from the word's places on, and by
-the Hamming distance of 64-bit parity sketches of the lines.  Words of very many lines are compared with leading
+the Hamming distance of 128-bit parity sketches of the lines.  Words of very many lines are compared with leading
 lines first, and only what these leave over with all.  A task names the most likely earlier lines of a line, not
 all; the whole sets of those are compared exactly, and a line with further candidates that none of them settled
 gets all its candidates in a second pass.  Equal lines of a run of texts are settled before anything is sent.
@@ -38,7 +38,7 @@ U = np.uint64
 BITS = 22
 SLICES = 32  # of the bucket table, summed apart
 LINE = "doc_id long, line_no int"
-DEALT = "part long, words array<long>, docs array<long>, numbers array<int>, sizes array<int>, places array<int>, sketches array<long>, asks array<byte>"
+DEALT = "part long, words array<long>, docs array<long>, numbers array<int>, sizes array<int>, places array<int>, s0 array<long>, s1 array<long>, asks array<byte>"
 PART_BYTES = 8 << 20  # of text whose words one part takes, about
 LEAD, LEADERS = 2048, 16  # lines of a word from which on leading lines are compared first, and how many
 BEST = 2  # candidates of a line that a part names in the first pass
@@ -55,6 +55,11 @@ def bucket_of(h: np.ndarray) -> np.ndarray:
     return (h & U((1 << BITS) - 1)).astype(np.int64)
 
 
+def prefix_bucket(word: np.ndarray) -> np.ndarray:
+    """The bucket of a word's code, among as many, by other bits of its hash."""
+    return (word & U((1 << BITS) - 1)).astype(np.int64)
+
+
 def rarities(docs: DataFrame) -> np.ndarray:
     """A byte per hash bucket: eight times the binary logarithm of its words' occurrences in all texts, 0 for one."""
     width = (1 << BITS) // SLICES
@@ -119,17 +124,21 @@ class Lines:
         run = np.r_[U(0), np.cumsum(values, dtype=U)]
         return run[self.first[1:]] - run[self.first[:-1]]
 
-    def sketch(self) -> np.ndarray:
-        """The parity of the words that fall on each of 64 bits."""
-        run = np.r_[U(0), np.bitwise_xor.accumulate(U(1) << (ws.mix(self.code ^ U(0x77)) & U(63)))] if len(self.code) else np.zeros(1, U)
-        return run[self.first[1:]] ^ run[self.first[:-1]]
+    def sketch(self) -> list[np.ndarray]:
+        """The parity of the words that fall on each of 128 bits, in two halves."""
+        bit = ws.mix(self.code ^ U(0x77)) & U(127)
+        out = []
+        for half in (0, 1):
+            run = np.r_[U(0), np.bitwise_xor.accumulate(np.where(bit >> U(6) == half, U(1) << (bit & U(63)), U(0)))] if len(bit) else np.zeros(1, U)
+            out.append(run[self.first[1:]] ^ run[self.first[:-1]])
+        return out
 
 
-def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int) -> DataFrame:
+def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int, only: Broadcast | None = None) -> DataFrame:
     """docs (doc_id, text, wanted array<int>) as arrays of line places by part of their rarest words.
 
     Of the equal lines of a run of texts the first is sent; the others are removed at once, in part -1, unless a
-    list of wanted lines restricts the search to those.
+    list of wanted lines restricts the search to those; only then tells which buckets have their words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +169,7 @@ def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int) -> DataFrame:
                 owner = np.repeat(np.arange(len(keep)), many)
                 pos = np.arange(ends[-1]) - ends[:-1][owner]
                 word = x.code[x.first[keep][owner] + pos]
-                again = word >> U(56) > 0
+                again = word >> U(56) > 0 if only is None else only.value[prefix_bucket(word)]
                 owner, pos, word = owner[again], pos[again], word[again]
                 to = (ws.mix(word) % U(parts)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
@@ -172,7 +181,7 @@ def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int) -> DataFrame:
                 cut = np.unique(np.r_[0, bounds]).astype(np.int32)
                 name = np.r_[none - 1, to][cut[:-1]]
                 column = lambda y, kind: pa.ListArray.from_arrays(pa.array(cut), pa.array(y, kind))
-                yield pa.RecordBatch.from_arrays([pa.array(name), column(ws.signed(np.r_[none.astype(U), word]), pa.int64()), column(doc[rows], pa.int64()), column(number[rows].astype(np.int32), pa.int32()), column(size[rows].astype(np.int32), pa.int32()), column(np.r_[none, pos].astype(np.int32), pa.int32()), column(ws.signed(x.sketch()[keep][rows]), pa.int64()), column(asks[rows].astype(np.int8), pa.int8())], [f.split()[0] for f in DEALT.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(name), column(ws.signed(np.r_[none.astype(U), word]), pa.int64()), column(doc[rows], pa.int64()), column(number[rows].astype(np.int32), pa.int32()), column(size[rows].astype(np.int32), pa.int32()), column(np.r_[none, pos].astype(np.int32), pa.int32()), *(column(ws.signed(y[keep][rows]), pa.int64()) for y in x.sketch()), column(asks[rows].astype(np.int8), pa.int8())], [f.split()[0] for f in DEALT.split(", ")])
 
     return docs.filter("doc_id is not null").mapInArrow(run, DEALT)
 
@@ -181,11 +190,11 @@ class Meeting:
     """The lines of some words, sorted by word and place, and which pairs of them may match."""
 
     def __init__(self, columns: list[np.ndarray], s: Similar):
-        word, doc, number, size, pos, sketch, asks = columns
+        word, doc, number, size, pos, s0, s1, asks = columns
         order = np.lexsort((number, doc, word))
         self.s, self.word, self.doc, self.number = s, word[order], doc[order], number[order]
         self.size, self.rest = size[order].astype(np.int64), (size - pos)[order].astype(np.int64)
-        self.sketch, self.asks = sketch.view(U)[order], asks[order] > 0
+        self.s0, self.s1, self.asks = s0.view(U)[order], s1.view(U)[order], asks[order] > 0
         first = np.flatnonzero(np.r_[True, self.word[1:] != self.word[:-1]]) if len(word) else np.zeros(0, np.int64)
         self.begin, self.end = first, np.r_[first[1:], len(word)].astype(np.int64)
 
@@ -196,7 +205,7 @@ class Meeting:
         shared = -(-(a + b) * num // (num + den))
         ok = np.flatnonzero((np.minimum(a, b) * den >= np.maximum(a, b) * num) & (np.minimum(self.rest[u], self.rest[v]) >= shared))
         u, v = u[ok], v[ok]
-        apart = np.bitwise_count(self.sketch[u] ^ self.sketch[v]).astype(np.int64)
+        apart = np.bitwise_count(self.s0[u] ^ self.s0[v]).astype(np.int64) + np.bitwise_count(self.s1[u] ^ self.s1[v])
         ok = (apart <= (a + b - 2 * shared)[ok]) & ((self.doc[u] != self.doc[v]) | (self.number[u] != self.number[v]))
         return u[ok], v[ok], apart[ok]
 
@@ -278,6 +287,18 @@ def line_sets(docs: DataFrame, rank: Broadcast) -> DataFrame:
     return docs.select("doc_id", "text", "wanted").mapInArrow(run, f"{LINE}, codes array<long>")
 
 
+def buckets_of_lines(docs: DataFrame, rank: Broadcast) -> np.ndarray:
+    """Which buckets have a word of the lines that docs (doc_id, text, wanted) asks for; the driver gets 4 MB."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(prefix_bucket(batch.column(0).flatten().to_numpy().view(U))).astype(np.int32))], ["bucket"])
+
+    out = np.zeros(1 << BITS, bool)
+    out[line_sets(docs, rank).select("codes").mapInArrow(run, "bucket int").distinct().toArrow()["bucket"].to_numpy()] = True
+    return out
+
+
 def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     """(doc_id, line_no from 0) of every line of docs (doc_id, text) that matches an earlier line.
 
@@ -293,8 +314,8 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     fields = "u_doc long, u_line int, v_doc long, v_line int, more boolean"
     place = lambda k: F.struct(F.col(f"{k}_doc").alias("doc_id"), F.col(f"{k}_line").alias("line_no")).alias(k)
 
-    def candidates(docs: DataFrame, best: int | None, name: str) -> DataFrame:
-        met = deal(docs, rank, s, parts).groupBy("part").applyInArrow(meet(s, best), fields)
+    def candidates(docs: DataFrame, best: int | None, name: str, only: Broadcast | None = None) -> DataFrame:
+        met = deal(docs, rank, s, parts, only).groupBy("part").applyInArrow(meet(s, best), fields)
         return scratch.save(met.select(place("u"), place("v"), "more"), name)
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
@@ -317,7 +338,9 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     again = scratch.save(again.join(gone.distinct(), "v", "left_anti").groupBy("v.doc_id").agg(F.collect_list("v.line_no").alias("wanted")), "again")
     if not again.isEmpty():
         scratch.release()
-        gone = gone.unionByName(verify(candidates(docs.join(sized(again), "doc_id", "left").select("doc_id", "text", F.coalesce("wanted", F.array().cast("array<int>")).alias("wanted")), None, "met-again"), "again"))
+        only = spark.sparkContext.broadcast(buckets_of_lines(docs.join(sized(again), "doc_id"), rank))
+        asked = docs.join(sized(again), "doc_id", "left").select("doc_id", "text", F.coalesce("wanted", F.array().cast("array<int>")).alias("wanted"))
+        gone = gone.unionByName(verify(candidates(asked, None, "met-again", only), "again"))
     return gone.select("v.doc_id", "v.line_no").distinct()
 
 

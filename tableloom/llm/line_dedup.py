@@ -97,6 +97,17 @@ def split_lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[order], np.searchsorted(owner[order], np.arange(len(at)))
 
 
+def by_line(line: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
+    """The order of words by line and code: one sort of both in 64 bits, checked, else a sort by each."""
+    bits = U(max(1, n.bit_length()))
+    order = np.argsort((line.astype(U) << (U(64) - bits)) | (code >> bits))
+    line, code = line[order], code[order]
+    sorted_ = (line[1:] > line[:-1]) | ((line[1:] == line[:-1]) & (code[1:] >= code[:-1]))
+    if not sorted_.all():  # codes of a line that differ in their last bits only
+        order = order[np.lexsort((code, line))]
+    return order
+
+
 class Lines:
     """The distinct word codes of the lines of some texts, rarest first in each line."""
 
@@ -109,7 +120,7 @@ class Lines:
         h = ws.hashes(data, begin, end)
         code = (rank[bucket_of(h)].astype(U) << U(56)) | (ws.mix(h) >> U(8))
         line = self._line_of(begin, starts)
-        order = np.lexsort((code, line))
+        order = by_line(line, code, self.n)
         code, line = code[order], line[order]
         new = np.r_[True, (code[1:] != code[:-1]) | (line[1:] != line[:-1])] if len(code) else np.zeros(0, bool)
         self.code, self.line = code[new], line[new]

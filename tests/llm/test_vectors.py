@@ -69,6 +69,18 @@ def test_search_recall_on_the_tables(spark):
     assert n == 10 * (ids % 100 == 0).sum() and hits / n >= 0.9
 
 
+def test_recall_in_one_large_block():
+    r = np.random.default_rng(21)
+    for x in (r.normal(size=(20000, 64)), r.normal(size=(40, 64))[r.integers(0, 40, 20000)] + r.normal(size=(20000, 64))):
+        f, ids, hits = pf.Forest(), np.arange(20000), 0
+        got = pf.nearest(ids, x, ids[::400], x[::400], pf.Planes(x[: f.sample], f), 10)
+        for q in ids[::400]:
+            far = ((x - x[q]) ** 2).sum(1)
+            far[q] = np.inf
+            hits += len({v for own, v, _ in got if own == q} & set(np.argsort(far)[:10].tolist()))
+        assert hits / 500 >= 0.98
+
+
 def test_search_odd_rows(spark):
     got = pf.search(odd(spark), F.col("vec_id") % 100 == 0).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(100, 1, 1), (100, 2, 2), (100, 3, 200), (200, 1, 100), (200, 2, 1), (200, 3, 2)]

@@ -123,7 +123,7 @@ select o_custkey, o_orderkey, block::int as block, case when split then 'T — '
 
 @query("date_block_split", BLOCK_SQL)
 def date_block_split(t: Tables) -> DataFrame:
-    o = t.orders.filter("o_orderkey % 3 > 0").select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderkey")
+    o = t.orders.select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderkey")
     empty = o.filter("o_custkey % 10 = 0").select("o_custkey", F.lit(1990).alias("y"))
     heads = o.select("o_custkey", "y").unionByName(empty).filter("o_custkey % 4 > 0 or y = 1995").distinct()
     rows = heads.select("o_custkey", "y", F.lit(0).cast("long").alias("o_orderkey"), F.lit("section_header").alias("row_type"), F.concat(F.lit("Dec "), F.col("y").cast("string")).alias("label"), F.lit(0).alias("n_values"))
@@ -161,7 +161,7 @@ select l_orderkey, (pos + i)::int as col, case when i = 0 then l_partkey::varcha
 
 @query("span_grid", SPAN_SQL)
 def span_grid(t: Tables) -> DataFrame:
-    cells = t.lineitem.filter("l_orderkey % 4 = 0").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    cells = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").distinct()
     cells = cells.select("l_orderkey", F.lit(0).alias("row"), F.concat(F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("ord"), F.lit(1).alias("row_span"), (1 + F.col("l_linenumber") % 3).alias("col_span"), F.col("l_partkey").cast("string").alias("text"))
     return grids.expand_spans(cells, ["l_orderkey"]).select("l_orderkey", "col", "text")
 

@@ -82,7 +82,8 @@ select slide, series, n::int as n, max(case when period = 1995 then v end) as "1
 
 @query("pivot_periods", PIVOT_SQL)
 def pivot_periods(t: Tables) -> DataFrame:
-    return points.pivot(order_points(t), ["slide"], ["1995", "1996", "1997"])
+    rows = order_points(t)
+    return points.pivot(rows, ["slide"], points.period_list(rows))
 
 
 @query("ordered_periods", "select o_orderstatus as slide, year(o_orderdate)::varchar as period, row_number() over (partition by o_orderstatus order by min(o_orderkey), year(o_orderdate)::varchar)::int as n from orders group by 1, year(o_orderdate)")

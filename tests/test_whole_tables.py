@@ -24,3 +24,11 @@ def same(df, result):
 @pytest.mark.parametrize("name", sorted(PARTS))
 def test_query_takes_every_row(spark, duck, name):  # noqa: F811
     assert same(registry.QUERIES[name](spark, SF), duck.execute(registry.ORACLES[name].replace(PARTS[name], "")))
+
+
+def test_pivot_has_every_period(spark, duck):  # noqa: F811
+    years = [y for (y,) in duck.execute("select distinct year(o_orderdate) from orders order by 1").fetchall()]
+    columns = ", ".join(f"max(case when period = {y} then v end) as \"{y}\"" for y in years)
+    head, tail = registry.ORACLES["pivot_periods"].split("n::int as n, ")[0], " from s left join"
+    sql = f"{head}n::int as n, {columns}{tail}{registry.ORACLES['pivot_periods'].split(tail)[1]}"
+    assert len(years) > 3 and same(registry.QUERIES["pivot_periods"](spark, SF), duck.execute(sql))

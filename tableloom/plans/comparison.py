@@ -101,7 +101,7 @@ def cached_work(t: Tables) -> DataFrame:
 
 def _titles(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Lines of the benchmark as leaves, page titles as tables, dealt to eight shared pages."""
-    leaves = t.benchmark.select((F.col("item_id") % 8).cast("int").alias("page"), F.col("item_id").alias("r_ord"), F.concat(F.lit("1."), F.col("item_id").cast("string")).alias("number"), F.substring("text", 1, 80).alias("title"))
+    leaves = t.benchmark.select((F.col("item_id") % 8).cast("int").alias("page"), F.col("item_id").alias("r_ord"), F.concat(F.lit("1."), F.col("item_id").cast("string")).alias("number"), F.col("text").alias("title"))
     tables = t.pages.select((F.col("page_id") % 8).cast("int").alias("page"), F.col("page_id").alias("l_ord"), F.when(F.col("page_id") % 9 == 0, F.concat(F.lit("1."), (F.col("page_id") % 8).cast("string"))).alias("section_id"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
     return tables, leaves
 

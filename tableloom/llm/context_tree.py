@@ -10,8 +10,8 @@ weights Pe / (2 Pw).  A context that training never reached takes its parent's e
 -log2 of the product over the text's bytes.
 
 Spark's part: texts are hashed into blocks of bounded size.  A block counts its distinct n-grams and words and deals
-them by key hash into parts, one row of sorted arrays for each part.  A part sums the counts of its keys over all
-blocks.  The trees are split by the last two context bytes, which share nothing but the two topmost depths; those
+them by key hash into parts, one row of sorted, compressed keys and their counts for each part.  A part sums the
+counts of its keys over all blocks.  The trees are split by the last two context bytes, which share nothing but the two topmost depths; those
 have at most 257 * 255 nodes, so they are gathered and broadcast whatever the corpus holds.  The values of the keys
 return to their parts and from there to each block, as arrays in the order of the keys that the block sent, so
 no row is ever made per key and frequent keys weigh no more than others.
@@ -23,6 +23,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.llm import wordscan as ws
@@ -182,6 +183,17 @@ def arrays(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.zeros(0), kind))
 
 
+def squeeze(key: np.ndarray) -> bytes:
+    """Ascending keys as the byte planes of their differences, compressed."""
+    step = np.diff(key, prepend=U(0)).view(np.uint8).reshape(-1, 8)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(step.T).tobytes())
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(U), dtype=U)
+
+
 def block_keys(texts: pa.Table, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Of a block's texts (text, learn): sorted n-grams and sorted words, with their counts in the texts to learn from."""
     learn = texts["learn"].combine_chunks().to_numpy(zero_copy_only=False)
@@ -209,7 +221,7 @@ def count_block(depth: int, parts: int) -> Callable[[pa.Table], pa.Table]:
             ends = np.searchsorted(part[order], np.arange(parts + 1))
             rows += [(kind, p, key[own], n[own]) for p in range(parts) if len(own := order[ends[p] : ends[p + 1]])]
         kind, part, keys, n = zip(*rows, strict=True)
-        return pa.table({"block": pa.array([block] * len(rows), pa.int64()), "kind": pa.array(kind, pa.int8()), "part": pa.array(part, pa.int64()), "keys": arrays([ws.signed(k) for k in keys], pa.int64()), "n": arrays(list(n), pa.int32())})
+        return pa.table({"block": pa.array([block] * len(rows), pa.int64()), "kind": pa.array(kind, pa.int8()), "part": pa.array(part, pa.int64()), "keys": pa.array(map(squeeze, keys), pa.binary()), "n": arrays(list(n), pa.int32())})
 
     return run
 
@@ -218,27 +230,31 @@ def gather(table: pa.Table, name: str) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table[name].chunks]) if len(table) else np.zeros(0, np.int64)
 
 
+def gather_keys(table: pa.Table) -> np.ndarray:
+    return np.concatenate([np.zeros(0, U), *(unsqueeze(k.as_py()) for k in table["keys"])])
+
+
 def sum_part(trees: int) -> Callable[[pa.Table], pa.Table]:
     """A part's distinct keys with their summed counts; n-grams by the group of trees that their last two bytes are in."""
 
     def run(table: pa.Table) -> pa.Table:
         kind, part = table["kind"][0].as_py(), table["part"][0].as_py()
-        key, n = count_keys([(gather(table, "keys").view(U), gather(table, "n").astype(np.int64))])
+        key, n = count_keys([(gather_keys(table), gather(table, "n").astype(np.int64))])
         tree = part_of(key >> U(8) & U(0xFFFF), trees) if kind == GRAM else np.full(len(key), -1, np.int64)
         order = np.argsort(tree, kind="stable")
         group, first = np.unique(tree[order], return_index=True)
         own = np.split(order, first[1:])
-        return pa.table({"kind": pa.array([kind] * len(group), pa.int8()), "part": pa.array([part] * len(group), pa.int64()), "tree": pa.array(group), "keys": arrays([ws.signed(key[o]) for o in own], pa.int64()), "n": arrays([n[o] for o in own], pa.int64()), "distinct": pa.array([len(o) for o in own], pa.int64()), "known": pa.array([int((n[o] > 0).sum()) for o in own], pa.int64()), "total": pa.array([int(n[o].sum()) for o in own], pa.int64())})
+        return pa.table({"kind": pa.array([kind] * len(group), pa.int8()), "part": pa.array([part] * len(group), pa.int64()), "tree": pa.array(group), "keys": pa.array([squeeze(key[o]) for o in own], pa.binary()), "n": arrays([n[o] for o in own], pa.int64()), "distinct": pa.array([len(o) for o in own], pa.int64()), "known": pa.array([int((n[o] > 0).sum()) for o in own], pa.int64()), "total": pa.array([int(n[o].sum()) for o in own], pa.int64())})
 
     return run
 
 
 def return_values(sent: pa.Table, known: pa.Table) -> pa.Table:
     """To each block the values of the keys that it sent to this part, in its own order."""
-    key, value = gather(known, "keys").view(U), gather(known, "values")
+    key, value = gather_keys(known), gather(known, "values")
     order = np.argsort(key)
     key, value = key[order], value[order]
-    out = [value[np.searchsorted(key, np.asarray(k).view(U))] for k in (x.values.to_numpy() for x in sent["keys"])]
+    out = [value[np.searchsorted(key, unsqueeze(k.as_py()))] for k in sent["keys"]]
     return pa.table({"block": sent["block"], "kind": sent["kind"], "part": sent["part"], "values": arrays(out, pa.float64())})
 
 
@@ -272,7 +288,7 @@ def score_block(depth: int, parts: int, tokens: float, kinds: float, ends: int)
     return run
 
 
-def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int = 24 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 16 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     learn: which rows the model may learn from; held_out is its negation.  score is log10 of the model's
@@ -288,12 +304,12 @@ def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int
     # A block has a tenth of its bytes in distinct keys, about.
     parts = max(4, -(-(size or 0) // (10 * PART_KEYS)))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).repartition(blocks, "block")
-    sent = scratch.save(docs.groupBy("block").applyInArrow(count_block(depth, parts), "block long, kind byte, part long, keys array<long>, n array<int>"), "sent")
+    sent = scratch.save(docs.groupBy("block").applyInArrow(count_block(depth, parts), "block long, kind byte, part long, keys binary, n array<int>"), "sent")
     scratch.release()
 
-    total = sent.select(F.sum(F.size("keys"))).first()[0] or 0
+    total = sent.select(F.sum(F.size("n"))).first()[0] or 0
     trees = max(1, -(-total // (8 * TREE_KEYS)))
-    summed = sent.groupBy("kind", "part").applyInArrow(sum_part(trees), "kind byte, part long, tree long, keys array<long>, n array<long>, distinct long, known long, total long")
+    summed = sent.groupBy("kind", "part").applyInArrow(sum_part(trees), "kind byte, part long, tree long, keys binary, n array<long>, distinct long, known long, total long")
     summed = scratch.save(summed, "summed")
     scratch.release()
     known = summed.filter(F.col("kind") == WORD).agg(F.sum("total"), F.sum("known")).first()
@@ -302,7 +318,7 @@ def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int
 
     def sums(table: pa.Table) -> pa.Table:
         """Depth 2's nodes summed by (last byte, binary node)."""
-        key, n = gather(table, "keys").view(U), gather(table, "n")
+        key, n = gather_keys(table), gather(table, "n")
         x = grow(key[n > 0], n[n > 0], depth, 2)[-1]
         ids, at = np.unique(x.ids & U(0xFFFF), return_inverse=True)
         a, b, pw = (np.bincount(at, y, len(ids)).astype(float) for y in (x.a, x.b, x.pw))
@@ -313,13 +329,13 @@ def score_texts(docs: DataFrame, learn: Column, depth: int = 5, block_bytes: int
     tops = spark.sparkContext.broadcast(top_levels(*(low[c].to_numpy() for c in ("c1", "node", "a", "b", "pw"))))
 
     def predict(table: pa.Table) -> pa.Table:
-        key, n = gather(table, "keys").view(U), gather(table, "n")
+        key, n = gather_keys(table), gather(table, "n")
         levels = grow(key[n > 0], n[n > 0], depth, 2)
         value = np.concatenate([log10_symbol(key[i : i + 50_000], levels, tops.value, depth) for i in range(0, len(key), 50_000)])
-        sizes = np.cumsum([len(x) for x in table["keys"]])[:-1]
+        sizes = np.cumsum([len(x) for x in table["n"]])[:-1]
         return pa.table({"kind": pa.array([GRAM] * len(table), pa.int8()), "part": table["part"], "keys": table["keys"], "values": arrays(np.split(value, sizes), pa.float64())})
 
-    values = grams.groupBy("tree").applyInArrow(predict, "kind byte, part long, keys array<long>, values array<double>")
+    values = grams.groupBy("tree").applyInArrow(predict, "kind byte, part long, keys binary, values array<double>")
     values = values.unionByName(summed.filter(F.col("kind") == WORD).select("kind", "part", "keys", F.col("n").cast("array<double>").alias("values")))
     back = sent.select("block", "kind", "part", "keys").groupBy("kind", "part").cogroup(values.groupBy("kind", "part"))
     back = scratch.save(back.applyInArrow(return_values, "block long, kind byte, part long, values array<double>"), "back")

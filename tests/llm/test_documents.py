@@ -245,6 +245,17 @@ def test_context_tree_probabilities_add_up():
         assert (10 ** ct.log10_symbol(every, levels, tops, 3)).sum() == pytest.approx(1)
 
 
+def test_context_tree_looks_six_bytes_back(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["abcdeg", "xbcdeh"] * 30)], "doc_id long, text string")
+    score, got = weigh([r["text"] for r in docs.collect()], 6), ct.score_texts(docs, F.lit(True)).collect()
+    assert all(r["score"] == pytest.approx(score(["abcdeg", "xbcdeh"][r["doc_id"] % 2]), rel=1e-9) for r in got)
+
+
+def test_keys_are_squeezed_without_loss():
+    key = np.unique(np.r_[np.random.default_rng(3).integers(0, 2**64, 999, dtype=np.uint64), 0, 2**64 - 1].astype(np.uint64))
+    assert (ct.unsqueeze(ct.squeeze(key)) == key).all() and not len(ct.unsqueeze(ct.squeeze(key[:0])))
+
+
 def test_context_tree_odd_rows(spark, odd_docs, no_docs):
     for learn in (F.lit(True), F.lit(False), F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))):
         got = ct.score_texts(odd_docs, learn).collect()

@@ -4,7 +4,7 @@ Targets share a total by weight; a source's target stops at a multiple of its si
 A source is taken whole as often as its target holds it.  The remaining budget is a subset sum over the source's
 documents, of which only the number of each length matters: every length gives its proportional share, rounded
 down, then further documents, longest first, until what is left is small enough for an exact bounded-knapsack
-dynamic programme over the lengths that remain.  Which documents of a length are taken follows a seeded hash.
+dynamic programme over the lengths that remain: 32,768 words, or four of the longest documents.  Which documents of a length are taken follows a seeded hash.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tableloom.scratch import Scratch
 
 WORDS = r"[^\x20\x09-\x0D]+"
-EXACT = 1 << 15  # budgets up to this many words are solved exactly
+EXACT = 1 << 15  # what is left is solved exactly from so many words on, or from four of the longest documents on
 BUCKETS = 4096  # a length's documents are counted by so many hash buckets, and ranked in one of them only
 
 
@@ -51,50 +51,70 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float) -
     return out
 
 
+def fill(length: np.ndarray, free: np.ndarray, left: int) -> np.ndarray:
+    """How many of each length's free documents fill left best, by a bounded-knapsack programme, shortest first."""
+    more, steps = np.zeros(len(length), np.int64), []
+    reach, first = np.zeros(left + 1, bool), np.zeros(left + 1, np.int32)  # sums, and the step that first reached each
+    reach[0] = True
+    for i in np.argsort(-length, kind="stable")[::-1]:
+        size = int(length[i])
+        if not size or size > left:
+            continue
+        some, lot = min(int(free[i]), left // size), 1
+        while some > 0 and not reach[left]:
+            lot = min(lot, some)
+            new = np.flatnonzero(reach[: left + 1 - lot * size] & ~reach[lot * size :]) + lot * size
+            reach[new], first[new] = True, len(steps)
+            steps.append((i, lot))
+            some, lot = some - lot, lot * 2
+        if reach[left]:
+            break
+    at = int(np.flatnonzero(reach)[-1])
+    while at:
+        i, lot = steps[first[at]]
+        more[i] += lot
+        at -= lot * int(length[i])
+    return more
+
+
 def subset_sum(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take: at most count, together at most budget words and as near to it as can be.
 
-    Exact whenever what the proportional and the greedy part leave is at most EXACT words.
+    Where shares and the greedy part leave more than EXACT words or a gap, the programme gets as many words as four of
+    the longest documents have, which the greedy part can't miss, first with the shares and then without.  Exact for
+    budgets up to that.
     """
-    take = np.zeros(len(length), np.int64)
+    none = np.zeros(len(length), np.int64)
     total = int((length * count).sum())
     if not total or budget <= 0:
-        return take
+        return none
     if budget >= total:
         return count.copy()
-    take = np.array([int(c) * budget // total for c in count], np.int64)  # Python's integers don't overflow
-    take[length == 0] = 0
-    left = budget - int((take * length).sum())
+    shares = np.array([int(c) * budget // total for c in count], np.int64)  # Python's integers don't overflow
+    shares[length == 0] = 0
     order = np.argsort(-length, kind="stable")
-    for i in order:
-        if left <= EXACT:
-            break
-        if length[i]:
-            more = min(int(count[i] - take[i]), (left - EXACT // 2) // int(length[i]))
-            if more > 0:
-                take[i] += more
-                left -= more * int(length[i])
-    if left > EXACT:  # only lengths above what is left remain
-        return take
-    reach, mask, steps = 1, (1 << (left + 1)) - 1, []
-    for i in order[::-1]:
-        free, size = int(count[i] - take[i]), int(length[i])
-        if not size or size > left:
+    wide = max(EXACT, 4 * int(length.max()))
+    best, gap = none, budget
+    for base, window in ((shares, EXACT), (shares, wide), (none, wide)):
+        take = base.copy()
+        left = budget - int((take * length).sum())
+        for i in order:
+            if left <= window:
+                break
+            if length[i]:
+                more = min(int(count[i] - take[i]), (left - window // 2) // int(length[i]))
+                if more > 0:
+                    take[i] += more
+                    left -= more * int(length[i])
+        if left > window:  # only lengths above window // 2 remain; the wide window leaves none
             continue
-        free, lot = min(free, left // size), 1
-        while free > 0 and not reach >> left & 1:
-            lot = min(lot, free)
-            steps.append((i, lot, reach))
-            reach |= reach << (lot * size) & mask
-            free, lot = free - lot, lot * 2
-        if reach >> left & 1:
+        take += fill(length, count - take, left)
+        left = budget - int((take * length).sum())
+        if left < gap:
+            best, gap = take, left
+        if not gap:
             break
-    at = reach.bit_length() - 1
-    for i, lot, before in reversed(steps):
-        if not before >> at & 1:
-            take[i] += lot
-            at -= lot * int(length[i])
-    return take
+    return best
 
 
 def mix(docs: DataFrame, m: Mix | None = None) -> DataFrame:

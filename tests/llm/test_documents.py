@@ -352,6 +352,24 @@ def test_subset_sum_is_exact_and_bounded():
     assert int((mixing.subset_sum(everything, np.full(399, 50), 3_000_017) * everything).sum()) == 3_000_017
 
 
+def test_subset_sum_of_long_documents_only():
+    for length, count, budget in (([50000, 60000], [1, 1], 60000), ([40000, 41000, 42000, 43000], [1] * 4, 83000), ([100000, 120000, 150000], [1] * 3, 150000), ([50000, 60000], [3, 3], 120000)):
+        assert int((mixing.subset_sum(np.array(length), np.array(count), budget) * length).sum()) == budget
+    r = np.random.default_rng(9)
+    for _ in range(30):
+        length = np.unique(r.integers(17_000, 200_000, 6))
+        count = r.integers(1, 3, len(length))
+        budget = int(r.integers(10_000, int((length * count).sum())))
+        sums = {0}
+        for size, n in zip(length.tolist(), count.tolist(), strict=True):
+            sums = {x + k * size for x in sums for k in range(n + 1)}
+        take = mixing.subset_sum(length, count, budget)
+        got = int((take * length).sum())
+        assert (take >= 0).all() and (take <= count).all() and got <= budget
+        if budget <= 4 * length.max():
+            assert got == max(x for x in sums if x <= budget)
+
+
 def test_mix_meets_its_targets(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = mixing.mix(docs).collect()

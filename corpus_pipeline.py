@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableloom.llm.byte_conv import keep_good
 from tableloom.llm.jaccard_join import Jaccard, link_documents
-from tableloom.llm.line_dedup import dedup_lines
+from tableloom.llm.line_dedup import EVERY_LINE, dedup_lines
 from tableloom.llm.mixing import WORDS, mix
 from tableloom.llm.packing import pack
 from tableloom.llm.tokens import Vocabulary
@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier line go, and documents of which nothing else is left."""
-    return dedup_lines(docs, counts=("_lines", "_removed")).filter((F.col("_removed") == 0) | F.col("text").rlike(WORDS)).select(docs.columns)
+    return dedup_lines(docs, EVERY_LINE, counts=("_lines", "_removed")).filter((F.col("_removed") == 0) | F.col("text").rlike(WORDS)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

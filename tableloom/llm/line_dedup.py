@@ -3,7 +3,7 @@
 A line is the set of its lower-cased words.  Two lines match when the Jaccard similarity of their sets is at least
 num / den; a line that matches an earlier one, in the order of (doc_id, line number), is removed.  Whether the
 earlier line is itself removed makes no difference, so the result depends on no processing order.  Lines of fewer
-than min_words distinct words (closing braces, "Yes.") take no part.
+than min_words distinct words take no part; at EVERY_LINE, only lines without words.
 
 Words are ordered by rarity.  Exact frequencies of an open vocabulary have no size bound, so rarity is that of a
 fixed table of 2^22 hash buckets, counted over every word of the corpus: an upper bound of the word's own
@@ -51,6 +51,9 @@ class Similar:
     min_words: int = 5
 
 
+EVERY_LINE = Similar(min_words=1)  # all lines but those without words
+
+
 def bucket_of(h: np.ndarray) -> np.ndarray:
     return (h & U((1 << BITS) - 1)).astype(np.int64)
 

@@ -10,7 +10,7 @@ from tableloom.llm.byte_conv import in_fold, score_quality
 from tableloom.llm.cell_dedup import near_duplicates
 from tableloom.llm.context_tree import score_texts
 from tableloom.llm.jaccard_join import Jaccard, link_documents
-from tableloom.llm.line_dedup import dedup_lines
+from tableloom.llm.line_dedup import EVERY_LINE, dedup_lines
 from tableloom.llm.mixing import mix
 from tableloom.llm.packing import pack
 from tableloom.llm.prefix_forest import search
@@ -94,7 +94,7 @@ select d.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)
 
 @query("op5_line_dedup", LINES_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+    return dedup_lines(read(spark, sf_dir, "documents"), EVERY_LINE).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
 @query("op6_separator_scan")

@@ -161,6 +161,14 @@ def test_line_dedup_on_whole_tables(spark):
         assert r["n_removed"] == sum((d, i) in gone for i in range(r["n_lines"]))
 
 
+def test_lines_of_few_words_equal_all_pairs(spark):
+    r, pool = random.Random(8), [f"w{i}" for i in range(9)]
+    docs = [(d, "\n".join(" ".join(r.choices(pool, k=r.randrange(0, 7))) for _ in range(5))) for d in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(x["doc_id"], x["line_no"]) for x in ld.later_matches(df, ld.EVERY_LINE).collect()}
+    assert got == matches(docs, least=1) and got > matches(docs)
+
+
 def test_line_dedup_odd_rows(spark, odd_docs, no_docs):
     out = ld.dedup_lines(odd_docs)
     assert out.columns == [*odd_docs.columns, "n_lines", "n_removed"] and out.count() == odd_docs.count()

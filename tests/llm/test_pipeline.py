@@ -51,6 +51,18 @@ def test_run_takes_an_empty_and_an_odd_table(spark, tmp_path, odd_docs):
         assert cp.run(spark, str(tmp_path / name)).count() >= 0
 
 
+def test_lines_of_few_words_go_too(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = duck.execute(ORACLES["op5_line_dedup"].replace("having count(*) >= 5", "having count(*) >= 1"))
+    names = [d[0] for d in want.description]
+    got = sorted(tuple(r) for r in QUERIES["op5_line_dedup"](spark, SF).select(names).collect())
+    assert got == sorted(want.fetchall())
+    one = spark.createDataFrame([(1, "Yes.\na"), (2, "yes.\nb"), (3, "A")], "doc_id long, text string").withColumn("source", F.lit("s"))
+    assert {r["doc_id"]: r["text"] for r in cp.lines(spark, one, SF).collect()} == {1: "Yes.\na", 2: "b"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     duck = duckdb.connect()

@@ -1,19 +1,19 @@
 """A corpus pipeline over documents: one stage after another, each written as a table and read again.
 
-Rows are told apart by doc_id.  Rows without one leave at the near-duplicate stage, rows that repeat one are one
-document there.  An empty table passes every stage and gives no pieces.
+Rows that repeat a doc_id, or have none, are documents of their own, but at the line stage, where those of one
+doc_id lose the same lines.  An empty table passes every stage and gives no pieces.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tableloom.llm.byte_conv import keep_good
 from tableloom.llm.jaccard_join import Jaccard, link_documents
 from tableloom.llm.line_dedup import EVERY_LINE, dedup_lines
-from tableloom.llm.mixing import WORDS, mix
+from tableloom.llm.mixing import WORDS, mix, word_count
 from tableloom.llm.packing import pack
 from tableloom.llm.tokens import Vocabulary
 from tableloom.scratch import Scratch
@@ -30,15 +30,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one of the least doc_id."""
-    kept = link_documents(docs, Jaccard()).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One row of each group of near copies stays, that of the least doc_id, none being the greatest; ties go by text."""
+    scratch = Scratch(spark, "near-duplicates")
+    rows = scratch.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    linked = link_documents(rows.select(F.col("_row").alias("doc_id"), "text"), Jaccard()).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_class"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text", F.xxhash64(*docs.columns), "_row")
+    kept = rows.join(linked, "_row").groupBy("_class").agg(F.min(place).alias("_least")).select("_least._row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document is there as often as the mix takes it."""
-    copies = mix(docs).filter("copies > 0").select("doc_id", F.col("copies").alias("_copies"))
-    repeated = docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    nth = lambda size, *by: F.row_number().over(W.partitionBy("doc_id", "source", size).orderBy(*by))
+    mixed = mix(docs)
+    copies = mixed.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_of"), F.col("copies").alias("_copies"), nth("size", F.desc("copies")).alias("_m"))
+    rows = docs.withColumn("_size", word_count()).withColumn("_n", nth("_size", "text", F.xxhash64(*docs.columns)))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_of")) & (F.col("_n") == F.col("_m"))
+    repeated = rows.join(copies.filter("_copies > 0"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(docs.columns)
 
 
@@ -54,7 +62,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixing),
     ("packing", packing),
 ]
-#: A trained network and a seeded choice are no SQL; the tests hold the stages against brute force.
+#: A trained network and a seeded choice are no SQL; the tests hold lines and near copies against brute force.
 ORACLE_SQL = None
 
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from tableloom.llm.jaccard_join import link_documents
+from tableloom.llm.jaccard_join import Jaccard, link_documents
+from tableloom.llm.mixing import mix
+from tableloom.llm.packing import pack
 from tableloom.llm.queries import ORACLES, QUERIES
+from tableloom.llm.tokens import Vocabulary
+from test_documents import groups, matches, shingles, split
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,6 +69,41 @@ def test_lines_of_few_words_go_too(spark):
     assert {r["doc_id"]: r["text"] for r in cp.lines(spark, one, SF).collect()} == {1: "Yes.\na", 2: "b"}
 
 
+def test_run_keeps_rows_that_share_or_lack_an_id(spark, tmp_path):
+    base = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60)
+    ids = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, F.col("doc_id") - 1).otherwise(F.col("doc_id"))
+    base.withColumn("doc_id", ids).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = cp.quality(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    columns, rows = docs.columns, [r.asDict() for r in docs.collect()]
+
+    gone, lines = matches([(r["doc_id"], r["text"]) for r in rows], least=1), []
+    for r in rows:
+        kept = [x for i, x in enumerate((r["text"] or "").split("\n")) if (r["doc_id"], i) not in gone]
+        if len(kept) == (r["text"] or "").count("\n") + 1 or split("\n".join(kept)):
+            lines.append({**r, "text": None if r["text"] is None else "\n".join(kept)})
+    j = Jaccard()
+    sets = [shingles(r["text"], j.n) for r in lines]
+    top = groups(range(len(lines)), lambda a, b: sets[a] and sets[b] and len(sets[a] & sets[b]) * j.den >= len(sets[a] | sets[b]) * j.num)
+    best = {}
+    for i, r in enumerate(lines):
+        place = (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "")
+        best[top[i]] = min(best.get(top[i], (place, r)), (place, r), key=lambda x: x[0])
+    want = [tuple(r[c] for c in columns) for _, r in best.values()]
+    assert any(r[columns.index("doc_id")] is None for r in want) and len({r[columns.index("doc_id")] for r in want}) < len(want)
+    got = docs
+    for name, stage in cp.STAGES[1:3]:
+        got = stage(spark, got, str(tmp_path)).cache()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+    copies = sorted((r["doc_id"], r["source"], r["size"], r["copies"]) for r in mix(got.na.fill(-1, ["doc_id"])).collect() if r["copies"])
+    mixed = cp.mixing(spark, got.na.fill(-1, ["doc_id"]), str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["source"], len(split(r["text"]))) for r in mixed) == sum((Counter({(d, s, n): c}) for d, s, n, c in copies), Counter())
+    pieces = cp.run(spark, str(tmp_path)).filter("start = 0").select("doc_id", "doc_tokens").collect()
+    whole = pack(cp.mixing(spark, spark.createDataFrame(want, docs.schema), str(tmp_path)), Vocabulary.byte_bpe()).filter("start = 0").select("doc_id", "doc_tokens").collect()
+    assert Counter(map(tuple, pieces)) == Counter(map(tuple, whole)) and any(r["doc_id"] is None for r in pieces)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     duck = duckdb.connect()

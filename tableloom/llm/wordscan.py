@@ -6,12 +6,15 @@ texts into Python strings; memory is bounded by CHUNK bytes of text at a time, o
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+RUN = 1 << 19  # bytes hashed at a time
 U = np.uint64
 
 SPACE = np.zeros(256, bool)
@@ -26,6 +29,23 @@ _PINV = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: dict[str, np.ndarray] = {}
 
 
+@lru_cache(maxsize=1)
+def _libc() -> ctypes.CDLL | None:
+    try:
+        lib = ctypes.CDLL(None)
+        lib.malloc_trim  # noqa: B018  glibc has it
+        return lib
+    except (OSError, AttributeError):
+        return None
+
+
+def trim() -> None:
+    """Gives memory that is no longer used back to the system, so that a worker keeps no more than its last batch."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc().malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit."""
     x = np.asarray(x, U)
@@ -35,10 +55,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK + 1)
+    """The powers of both bases up to n - 1; those up to RUN are kept."""
+    if "up" not in _powers:
         for name, p in (("up", _P), ("down", _PINV)):
-            x = np.full(size, p, U)
+            x = np.full(RUN + 1, p, U)
             x[0] = 1
             _powers[name] = np.multiply.accumulate(x)
     return _powers["up"][:n], _powers["down"][:n]
@@ -77,11 +97,29 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span, lower-cased: a polynomial over random byte values, then mixed."""
-    up, down = _power(len(data) + 1)
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum(_BYTE[LOWER[data]] * up[:-1], out=total[1:])
-    return mix(((total[end] - total[start]) * down[start]) ^ ((end - start).astype(U) * U(0xD6E8FEB86659FD93)))
+    """A 64-bit hash of each span, lower-cased: a polynomial over random byte values, then mixed.  Spans are in order.
+
+    At most RUN bytes are looked at together, or one span if it is longer: that one is hashed in runs.
+    """
+    out = np.empty(len(start), U)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + RUN, "right")))
+        lo, hi = int(start[i]), int(end[j - 1])
+        if hi - lo <= RUN:
+            up, down = _power(hi - lo + 1)
+            total = np.zeros(hi - lo + 1, U)
+            np.cumsum(_BYTE[LOWER[data[lo:hi]]] * up[:-1], out=total[1:])
+            out[i:j] = (total[end[i:j] - lo] - total[start[i:j] - lo]) * down[start[i:j] - lo]
+        else:
+            up, value, shift = _power(RUN)[0], 0, 1
+            for k in range(lo, hi, RUN):
+                part = data[k : min(hi, k + RUN)]
+                value += int((_BYTE[LOWER[part]] * up[: len(part)]).sum(dtype=U)) * shift
+                shift = shift * pow(int(_P), RUN, 2**64) % 2**64
+            out[i] = U(value % 2**64)
+        i = j
+    return mix(out ^ ((end - start).astype(U) * U(0xD6E8FEB86659FD93)))
 
 
 def shingles(word: np.ndarray, first: np.ndarray, n: int) -> Iterator[np.ndarray]:

@@ -280,6 +280,25 @@ def test_both_vocabulary_files_give_the_same_ids():
         assert np.array_equal(coder.ids(t), coder._slow(t))
 
 
+def test_ids_are_those_of_the_library_with_added_tokens():
+    from tokenizers import Tokenizer
+
+    vocabulary = Vocabulary.byte_bpe()
+    library, coder = Tokenizer.from_file(vocabulary.json), Encoder(vocabulary)
+    for t in ("<|endoftext|> a", "x<|endoftext|><|endoftext|>", "a <|endoftext", "no mark"):
+        assert coder.ids(t).tolist() == library.encode(t, add_special_tokens=False).ids
+    assert coder.ids("<|endoftext|> a").tolist() == [50256, 257]
+    assert 50256 not in Encoder(Vocabulary.byte_bpe(plain=True)).ids("<|endoftext|> a")
+
+
+def test_separator_scan_refuses_what_would_break_it(spark, tmp_path):
+    marked = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    assert [r["n_tokens"] for r in separator_scan.document_tokens(marked, Vocabulary.byte_bpe(plain=True), 50256).collect()] == [9]
+    for vocabulary, dtype in ((Vocabulary.byte_bpe(), "<u2"), (Vocabulary.byte_bpe(plain=True), "u1")):
+        with pytest.raises(Exception, match="ids up to|separator's id"):
+            separator_scan.document_tokens(marked, vocabulary, 50256, dtype).collect()
+
+
 def check_packing(pieces, docs, length):
     coder, at, owner = encoder(Vocabulary.byte_bpe()), defaultdict(list), defaultdict(list)
     want = {d: np.append(coder.ids(t), np.uint32(1)) for d, t in docs}
@@ -347,15 +366,18 @@ def test_targets_share_the_excess():
 
 def test_subset_sum_is_exact_and_bounded():
     r = np.random.default_rng(4)
-    for _ in range(60):
-        length, count = np.unique(r.integers(0, 60, 8)), None
+    for _ in range(1500):
+        length = np.unique(r.integers(0, 60, r.integers(1, 9)))
         count = r.integers(1, 5, len(length))
         total = int((length * count).sum())
         budget = int(r.integers(0, total + 5))
         take = mixing.subset_sum(length, count, budget)
         assert (take >= 0).all() and (take <= count).all()
-        got = int((take * length).sum())
-        assert got <= budget
+        sums = {0}
+        for size, n in zip(length.tolist(), count.tolist(), strict=True):
+            sums = {x + k * size for x in sums for k in range(n + 1)}
+        assert int((take * length).sum()) == max(x for x in sums if x <= budget)
+    assert list(mixing.subset_sum(np.array([6, 39]), np.array([2, 1]), 40)) == [0, 1]
     everything = np.arange(1, 400)
     assert int((mixing.subset_sum(everything, np.full(399, 50), 3_000_017) * everything).sum()) == 3_000_017
 
@@ -397,18 +419,54 @@ def test_mix_odd_rows(spark, odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def naive_score(net, text):
+    """The network's probability by loops over bytes, straight from its definition."""
+    p, n = {k: v.astype(float) for k, v in net.p.items()}, len(text)
+    halves = max(2, -(-(n + 8) // 32))
+    filters = p["filters"].reshape(8, byte_conv.EMBED + 1, byte_conv.FILTERS)
+
+    def answer(at):
+        total = p["filter_bias"].copy()
+        for j in range(8):
+            o = at + j
+            total += p["embed"][text[o] if o < n else 0] @ filters[j, :-1]
+            if o < n and any(text[o - 7 : o + 1] == text[o - lag - 7 : o - lag + 1] for lag in range(2, 33) if o - lag >= 7):
+                total += filters[j, -1]
+        return np.maximum(total, 0)
+
+    # A filter looks at eight bytes; the last of a text would reach beyond it.
+    h = [sum((answer(32 * k + 4 * i) for i in range(8) if 32 * k + 4 * i + 8 <= 32 * halves), np.zeros(byte_conv.FILTERS)) / 8 for k in range(halves)]
+    f = np.array([(x + y) / 2 @ p["mix"] + p["mix_bias"] for x, y in zip(h, h[1:])])
+    return 1 / (1 + np.exp(-(np.maximum(f, 0).max(0) @ p["out"] + p["out_bias"][0])))
+
+
+def scored(net, texts):
+    return net.score(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+
+
+def some_texts():
+    r = random.Random(3)
+    words = [b"the", b"quick", b"###", b"fox", "ß".encode(), b"\x00\x00", b"1234567890"]
+    return [b"", b"abc", b"word " * 50, b"###" * 40, b"z" * 64, b"ab" * 300, *(b" ".join(r.choice(words) for _ in range(r.randrange(1, 150))) for _ in range(12))]
+
+
+def test_network_equals_loops(monkeypatch):
+    net, texts = byte_conv.Net(1), some_texts()
+    assert np.allclose(scored(net, texts), [naive_score(net, t) for t in texts], atol=1e-5)
+
+
 def test_network_gradients():
-    net, r = byte_conv.Net(1), np.random.default_rng(0)
-    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    net = byte_conv.Net(1)
     texts = [b"hello there you all " * 9, b"### *** $$$", b"x" * 100]
-    data, first = byte_conv.layout(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
-    y, w = np.array([1.0, 0, 1]), np.array([1.0, 2, 1])
+    raw = [np.frombuffer(t, np.uint8) for t in texts]
+    y, w = np.array([1.0, 0, 1], np.float32), np.array([1.0, 2, 1], np.float32)
 
     def loss():
-        z = net.forward(data, first)["z"]
-        return float((w * (np.logaddexp(0, z) - y * z)).mean())
+        net.tabulate()
+        p = scored(net, texts)
+        return float((w * -(y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
 
-    g = net.gradients(data, first, y, w)
+    g = net.gradients(raw, y, w)
     for name in ("mix", "out", "filters", "embed"):
         flat, at = net.p[name].reshape(-1), int(np.abs(g[name]).argmax())
         old = flat[at]
@@ -420,12 +478,34 @@ def test_network_gradients():
         assert (up - down) / 2e-2 == pytest.approx(g[name].reshape(-1)[at], rel=0.15, abs=1e-4), name
 
 
-def test_network_scores_do_not_depend_on_neighbours():
+def test_network_scores_do_not_depend_on_neighbours_or_pieces(monkeypatch):
     net = byte_conv.Net(1)
-    texts = [b"", b"abc", b"word " * 50, b"###" * 40, b"z" * 64]
-    data, at = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
-    alone = [net.score(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
-    assert np.allclose(net.score(data, at), alone, atol=1e-6)
+    texts = [*some_texts(), b"end of one text", b"one text starts like the one before ends", b"12345678", b"12345678"]
+    alone = [scored(net, [t])[0] for t in texts]
+    assert list(scored(net, texts)) == alone and list(scored(net, texts[::-1])) == alone[::-1]
+    for piece in (1, 3, 7):
+        monkeypatch.setattr(byte_conv, "PIECE", piece)
+        assert list(scored(net, texts)) == alone
+
+
+def test_network_scores_do_not_depend_on_partitions(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    t = byte_conv.Training(epochs=2)
+    one, many = ({r["doc_id"]: r["score"] for r in byte_conv.score_quality(docs.repartition(n), labels, t=t).collect()} for n in (1, 7))
+    assert one == many and len(set(one.values())) > 10
+
+
+def test_network_scores_a_very_long_text():
+    net, text = byte_conv.Net(1), b"many words of prose, " * 150_000
+    assert scored(net, [b"a", text, b"b"])[1] == scored(net, [text])[0] != scored(net, [text + b"#" * 200])[0]
+
+
+def test_sample_bytes_bound_the_fit(spark):
+    docs = spark.createDataFrame([(i, "word " * 50) for i in range(8)] + [(3, "a text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    assert byte_conv.train(docs, labels, byte_conv.Training(sample_bytes=10)) == 1.0  # only the least text of 3 fits
+    assert byte_conv.train(docs, labels, byte_conv.Training(sample_bytes=5)) == 0.5
 
 
 def test_quality_on_held_out_rows(spark):

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from tableloom.llm import wordscan as ws
 from tableloom.llm.tokens import Vocabulary, encoder
 from tableloom.scratch import Scratch
 
@@ -122,6 +123,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, length: int = 2048, windows: i
                 out.add(doc, ids, 0, len(ids))
                 if len(out.rows) > 5000:
                     yield from out.table().to_batches()
+            ws.trim()
         out.leave()
         yield from out.table().to_batches()
 

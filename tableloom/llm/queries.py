@@ -99,7 +99,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_separator_scan")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_tokens(read(spark, sf_dir, "documents"), Vocabulary.byte_bpe(), separator=50256)
+    return document_tokens(read(spark, sf_dir, "documents"), Vocabulary.byte_bpe(plain=True), separator=50256)
 
 
 @query("op7_budget_mix")

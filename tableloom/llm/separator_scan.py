@@ -23,16 +23,22 @@ from tableloom.scratch import Scratch
 def write_flat(docs: DataFrame, vocabulary: Vocabulary, separator: int, dtype: str, folder: str) -> DataFrame:
     """Writes one flat file per partition of docs (doc_id, text); gives (file, ordinal, doc_id) of what it holds.
 
-    A null text is an empty one: its separator alone.
+    A null text is an empty one: its separator alone.  The separator's own string in a text must be ordinary text
+    (a plain vocabulary), or it would end a document; ids that dtype can't hold are refused.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = f"{folder}/part-{TaskContext.get().partitionId():06d}.tokens"
-        coder, n = encoder(vocabulary), 0
+        coder, n, most = encoder(vocabulary), 0, np.iinfo(dtype).max
+        if max(coder.size - 1, separator) > most:
+            raise ValueError(f"{dtype} holds ids up to {most}; the vocabulary has {coder.size}")
         with writing(file) as out:
             for batch in batches:
                 for text in batch.column(1):
-                    out.write(np.append(coder.ids(text.as_py()), separator).astype(dtype).tobytes())
+                    ids = coder.ids(text.as_py())
+                    if (ids == separator).any():
+                        raise ValueError("a text has the separator's id")
+                    out.write(np.append(ids, separator).astype(dtype).tobytes())
                 m = len(batch)
                 yield pa.RecordBatch.from_arrays([pa.array([file] * m, pa.string()), pa.array(np.arange(n, n + m)), batch.column(0)], ["file", "ordinal", "doc_id"])
                 n += m

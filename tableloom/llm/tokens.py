@@ -14,35 +14,40 @@ import numpy as np
 class Vocabulary:
     """json: a file of the tokenizers library.  ranks: the same byte-level vocabulary as merge ranks, or None.
 
-    The tokenizers library defines the ids.  Where ranks are given, texts are encoded from them, which is about
-    five times as fast and gives the same ids; every worker checks that on probes and on texts it meets, and a text
-    that the faster encoder refuses goes to the library.
+    The tokenizers library, as the file sets it up, defines the ids: a text that holds the string of an added token,
+    such as an end-of-text mark, has that token's id there.  Where ranks are given, texts without such a string are
+    encoded from them, which is about five times as fast and gives the same ids; every worker checks that on probes
+    and on one text in so many it meets, whatever its length, and a text that the faster encoder refuses goes to the
+    library.  plain: the strings of added tokens are ordinary text instead.
     """
 
     json: str
     ranks: str | None = None
     pattern: str | None = None
+    plain: bool = False
 
     @staticmethod
-    def byte_bpe() -> Vocabulary:
+    def byte_bpe(plain: bool = False) -> Vocabulary:
         import public_tokenizers as public
 
-        return Vocabulary(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+        return Vocabulary(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN, plain)
 
 
-PROBES = ("", "a", "Hello  world's 123\n\n  x\t", "Ünïcode ßtraße — ñandú 你好 \U0001f600", "<|endoftext|> !!!***$$$ | a | b", " " * 40 + "end ")
+PROBES = ("", "a", "Hello  world's 123\n\n  x\t", "Ünïcode ßtraße — ñandú 你好 \U0001f600", "!!!***$$$ | a | b", " " * 40 + "end ")
 
 
 class Encoder:
-    CHECKED = 8  # texts of a worker that are encoded both ways
+    CHECKED = 512  # of so many texts a worker encodes one both ways, the first one too
 
     def __init__(self, vocabulary: Vocabulary):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary.json)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.fast, self.to_check = None, self.CHECKED
+        self.library.encode_special_tokens = vocabulary.plain
+        self.size = self.library.get_vocab_size()
+        self.added = [] if vocabulary.plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.fast, self.met = None, 0
         if vocabulary.ranks and os.path.exists(vocabulary.ranks):
             import tiktoken
 
@@ -64,7 +69,7 @@ class Encoder:
 
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
-        if not self.fast:
+        if not self.fast or any(x in text for x in self.added):
             return self._slow(text)
         try:
             got = self._fast(text)
@@ -72,9 +77,9 @@ class Encoder:
             if isinstance(e, (KeyboardInterrupt, SystemExit)):
                 raise
             return self._slow(text)
-        if self.to_check and text and len(text) < 5000:
-            self.to_check -= 1
+        if self.met % self.CHECKED == 0:
             self._compare(text, got)
+        self.met += 1
         return got
 
 

@@ -243,14 +243,46 @@ def test_context_tree_equals_its_definition(spark):
         assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"], got[i]["held_out"]) == (len(split(t)) + 1, sum(words[w] > 0 for w in split(t)) + 1, n, i % 3 == 0)
 
 
+def test_context_tree_with_split_pairs_and_pieces(spark, monkeypatch):
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["the", "then", "of", "bathe", "cat", "ßü"]) for _ in range(r.randrange(0, 40))) for _ in range(20)] + ["the " * 300 + "of"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    score = weigh([t for i, t in enumerate(texts) if i % 3], 4)
+    got = {x["doc_id"]: x["score"] for x in ct.score_texts(docs, F.col("doc_id") % 3 != 0, depth=4, block_bytes=500, tree_bytes=40).collect()}
+    assert all(got[i] == pytest.approx(score(t), rel=1e-9) for i, t in enumerate(texts))
+    deal = ct.Deal(np.r_[np.array([1000, 0, 30, 5]), np.zeros(65532, np.int64)], 40, 4)
+    assert deal.split[0] == 25 and deal.parts == 26 and (deal.first[1:] == 0).all()
+
+
+def test_long_texts_are_streamed_in_pieces(monkeypatch):
+    texts = ["Abc  def\t" * 40 + " x" * 7 + "  ", "", "y" * 90 + " z", "  "]
+    whole = [ct.Stream(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 6) for t in texts]
+    monkeypatch.setattr(ct, "CHUNK", 32)
+    for k, t in enumerate(texts):
+        parts = [ct.Stream(data, at, 6, context, ends) for _, _, data, at, context, ends in ct.pieces(pa.array([t]), 6)]
+        assert np.array_equal(np.concatenate([x.code for x in parts]), whole[k].code) and (len(parts) > 1) == (k in (0, 2))
+        assert np.array_equal(np.concatenate([x.words() for x in parts]), whole[k].words())
+
+
 def test_context_tree_probabilities_add_up():
-    key, n = ct.count_keys([(np.random.default_rng(0).integers(0, 2**20, 500, dtype=np.uint64) << np.uint64(4), np.ones(500, np.int64))])
-    levels = ct.grow(key, n, 3, 2)
-    c1, node = (levels[-1].ids >> np.uint64(8)) & np.uint64(255), levels[-1].ids & np.uint64(255)
-    tops = ct.top_levels(c1, node, levels[-1].a, levels[-1].b, levels[-1].pw)
-    for context in (int(key[0]) >> 8, 0x616263):
-        every = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert (10 ** ct.log10_symbol(every, levels, tops, 3)).sum() == pytest.approx(1)
+    r = np.random.default_rng(0)
+    key, n = ct.count_keys(r.integers(0, 2**20, 500, dtype=np.uint64) << np.uint64(12), np.ones(500, np.int64))
+    contexts = [int(key[0]) >> 8, 0x616263]
+    every = np.concatenate([(np.uint64(c) << np.uint64(8)) | np.arange(256, dtype=np.uint64) for c in contexts])
+    known = ct.count_keys(np.r_[key, every], np.r_[n, 0 * every.astype(np.int64)])
+    c1, node, sums = [], [], []
+    forest = ct.Forest(key, n, 3)
+    for j in range(8):
+        two = forest.nodes(j)[2]
+        ct.Forest.weigh(two)
+        e = forest.entries[2][two["start"]].astype(np.int64)
+        c1.append(e >> 16)
+        node.append(1 << j | (e & 255) >> (8 - j))
+        sums.append(np.stack([two["a"], two["b"], two["pw"]]))
+    tops = ct.Tops(np.concatenate(c1), np.concatenate(node), *np.concatenate(sums, 1))
+    value = dict(zip(known[0].tolist(), ct.log10_symbols(ct.Forest(*known, 3), tops).tolist()))
+    for context in contexts:
+        assert sum(10 ** value[context << 8 | s] for s in range(256)) == pytest.approx(1)
 
 
 def test_context_tree_looks_six_bytes_back(spark):
@@ -262,6 +294,8 @@ def test_context_tree_looks_six_bytes_back(spark):
 def test_keys_are_squeezed_without_loss():
     key = np.unique(np.r_[np.random.default_rng(3).integers(0, 2**64, 999, dtype=np.uint64), 0, 2**64 - 1].astype(np.uint64))
     assert (ct.unsqueeze(ct.squeeze(key)) == key).all() and not len(ct.unsqueeze(ct.squeeze(key[:0])))
+    value = -np.random.default_rng(4).random(999) * 12
+    assert np.allclose(ct.unsqueeze_values(ct.squeeze_values(value)), value, rtol=2e-11, atol=0)
 
 
 def test_context_tree_odd_rows(spark, odd_docs, no_docs):

@@ -69,6 +69,14 @@ def test_search_recall_on_the_tables(spark):
     assert n == 10 * (ids % 100 == 0).sum() and hits / n >= 0.9
 
 
+def test_few_rows_are_compared_exactly(monkeypatch):
+    x, f, looked = np.random.default_rng(22).normal(size=(12000, 48)), pf.Forest(), []
+    lexsort = np.lexsort
+    monkeypatch.setattr(pf.np, "lexsort", lambda keys: looked.append(len(keys[0])) or lexsort(keys))
+    pf.nearest(np.arange(12000), x, np.arange(0, 12000, 600), x[::600], pf.Planes(x[: f.sample], f), 10)
+    assert len(looked) == 20 and max(looked) + f.fitted <= 0.11 * 12000
+
+
 def test_recall_in_one_large_block():
     r = np.random.default_rng(21)
     for x in (r.normal(size=(20000, 64)), r.normal(size=(40, 64))[r.integers(0, 40, 20000)] + r.normal(size=(20000, 64))):
@@ -81,6 +89,14 @@ def test_recall_in_one_large_block():
         assert hits / 500 >= 0.98
 
 
+def test_a_vector_that_a_third_of_the_rows_have(spark):
+    x = np.random.default_rng(23).normal(size=(3000, 16))
+    x[:1000] = x[0]
+    got = pf.search(vectors(spark, x), F.col("vec_id") % 100 == 0).collect()
+    own = {q: [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 500, 900)}
+    assert own == {0: list(range(1, 11)), 500: list(range(10)), 900: list(range(10))}
+
+
 def test_search_odd_rows(spark):
     got = pf.search(odd(spark), F.col("vec_id") % 100 == 0).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(100, 1, 1), (100, 2, 2), (100, 3, 200), (200, 1, 100), (200, 2, 1), (200, 3, 2)]

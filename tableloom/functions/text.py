@@ -170,6 +170,19 @@ def sheet_base(section: Column, title: Column) -> Column:
     return F.coalesce(F.nullif(F.substr(clean, F.lit(1), F.lit(31)), F.lit("")), F.nullif(F.substr(section, F.lit(1), F.lit(31)), F.lit("")), F.lit("Sheet"))
 
 
+def table_sheet_base(section: Column, n: Column) -> Column:
+    """The name of a section's n-th table's sheet before it is made unique."""
+    raw = F.regexp_replace(F.concat(section, F.lit(" Table "), n.cast("string")), SHEET_FORBIDDEN, " ")
+    clean = F.substr(F.trim(F.regexp_replace(raw, r"\s+", " ")), F.lit(1), F.lit(31))
+    return F.coalesce(F.nullif(clean, F.lit("")), F.concat(F.lit("t"), n.cast("string")))
+
+
+def slide_tab_base(slide: Column, title: Column) -> Column:
+    """A slide's tab before it is made unique: two digits and twenty characters of its title."""
+    short = F.substr(F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), SHEET_FORBIDDEN, "")), F.lit(1), F.lit(20))
+    return F.substr(F.concat(F.lpad(slide.cast("string"), 2, "0"), F.lit(" - "), F.coalesce(F.nullif(short, F.lit("")), F.lit("Slide"))), F.lit(1), F.lit(31))
+
+
 def escaped(text: Column) -> Column:
     """A text as HTML shows it."""
     out = text

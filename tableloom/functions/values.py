@@ -16,6 +16,7 @@ ROW_TYPES = ["section_header", "data", "total", "sub_header", "note"]
 
 SPACE = r"[\s ]"
 NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+PLACEHOLDER = "^(TBD|XXX+|TEST|ILLEGIBLE|MISSING|UNKNOWN|PLACEHOLDER)$"
 
 
 def stripped(value: Column) -> Column:
@@ -161,7 +162,7 @@ def bridge_amount(number: Column, sign: Column) -> Column:
 def cell_flag(value: Column) -> Column:
     """What a reviewer must look at in a cell, else null."""
     s = F.upper(F.trim(value))
-    return F.when(s.contains("ILLEGIBLE"), "illegible").when(s.startswith("CONFLICT:"), "conflict").when(s.isin("TBD", "PLACEHOLDER", "XXX", "N/K"), "placeholder")
+    return F.when(s == "ILLEGIBLE", "ILLEGIBLE").when(s.startswith("CONFLICT:"), "CONFLICT").when(s.rlike(PLACEHOLDER), "PLACEHOLDER")
 
 
 def all_zero(values: Column, least: int = 3) -> Column:

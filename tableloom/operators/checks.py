@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tableloom.functions import text as T, values as V
 
@@ -48,6 +48,31 @@ def ratio(rows: DataFrame, keys: list[str], tol_abs: float = 5.0, tol_rel: float
     return rows.select(*keys, "stated", implied.alias("implied"), (F.abs(implied - F.col("stated")) <= F.greatest(F.lit(tol_abs), F.abs("stated") * tol_rel)).alias("ok"))
 
 
+def ratio_by_label(rows: DataFrame, cells: DataFrame, keys: list[str], tol_abs: float = 5.0, tol_rel: float = 0.05) -> DataFrame:
+    """Coverage ratios that don't follow from their table: rows(keys, ord, row_id, label), cells(keys, row_id, col_idx, value).
+
+    A row's number is its first numeric cell.  The rows are found by their labels, the last of each kind counts.
+    """
+    first = cells.select(*keys, "row_id", "col_idx", V.review_number(F.col("value")).alias("num")).filter("num is not null")
+    first = first.groupBy(*keys, "row_id").agg(F.min_by("num", "col_idx").alias("num"))
+    label = F.upper(F.coalesce("label", F.lit("")))
+    kind = F.when(label.contains("TOTAL HQLA") | label.contains("HIGH-QUALITY LIQUID ASSETS"), "assets").when(label.contains("TOTAL NET CASH OUTFLOW"), "outflow").when(label.contains("LIQUIDITY COVERAGE RATIO"), "ratio")
+    found = rows.withColumn("kind", kind).filter("kind is not null").join(first, [*keys, "row_id"])
+    last = lambda k, c: F.max_by(F.when(F.col("kind") == k, F.col(c)), F.when(F.col("kind") == k, F.col("ord")))
+    out = found.groupBy(*keys).agg(last("assets", "num").alias("assets"), last("outflow", "num").alias("outflow"), last("ratio", "num").alias("stated"), last("ratio", "row_id").alias("row_id"))
+    out = out.filter("assets is not null and outflow <> 0 and stated <> 0").withColumn("implied", F.round(F.col("assets") / F.col("outflow") * 100, 1))
+    off = F.abs(F.col("assets") / F.col("outflow") * 100 - F.col("stated")) > F.greatest(F.lit(tol_abs), F.abs("stated") * tol_rel)
+    return out.filter(off).select(*keys, "row_id", "stated", "implied")
+
+
+def review_summary(tables: DataFrame, flags: DataFrame, keys: list[str]) -> DataFrame:
+    """How many tables (keys, table_id, skipped) have no flag, some, or were skipped; flags(keys, table_id)."""
+    some = flags.select(*keys, "table_id").distinct().withColumn("_f", F.lit(True))
+    rows = tables.join(some, [*keys, "table_id"], "left")
+    skipped, flagged = F.coalesce("skipped", F.lit("")) != "", F.col("_f").isNotNull()
+    return rows.groupBy(*keys).agg(F.count("*").alias("total"), F.count_if(~skipped & ~flagged).alias("ok"), F.count_if(flagged).alias("flagged"), F.count_if(skipped).alias("skipped"))
+
+
 def span_mismatch(rows: DataFrame, v1: bool = False) -> DataFrame:
     """Rows (values, n_cols) whose cells don't fill the columns; rows without cells are fine.  v1 adds up spans."""
     n = F.aggregate("values", F.lit(0), lambda a, x: a + x["span"]) if v1 else F.size("values")
@@ -73,19 +98,43 @@ def number_recall(json: DataFrame, pages: DataFrame, noise: DataFrame | None = N
     kind = F.when(F.col("extracted") > F.col("printed"), "phantom").when(F.col("printed") > F.col("extracted"), "deficit")
     both = both.withColumn("kind", kind).filter("kind is not null")
     if not strict:
-        squeezed = pages.select("unit", F.regexp_replace("text", r"[\s,]", "").alias("squeezed"))
         some = json.select("unit").distinct().withColumn("some", F.lit(True))
-        both = both.join(squeezed, "unit", "left").join(some, "unit", "left")
+        both = both.join(some, "unit", "left")
         if noise is not None:
             both = both.join(noise.select("unit", "token").distinct().withColumn("noise", F.lit(True)), ["unit", "token"], "left")
         else:
             both = both.withColumn("noise", F.lit(None).cast("boolean"))
-        phantom = (F.col("kind") == "phantom") & ~F.coalesce(F.contains("squeezed", "token"), F.lit(False))
         deficit = (F.col("kind") == "deficit") & (F.length("token") > 2) & ~F.col("token").rlike("^(19|20)[0-9]{2}$") & F.col("noise").isNull() & (F.col("some").isNotNull() | (F.length("token") < 7))
-        both = both.filter(phantom | deficit)
+        # A unit's text meets only the list of tokens that it might hold in another spelling.
+        asked = both.filter("kind = 'phantom'").groupBy("unit").agg(F.collect_set("token").alias("tokens"))
+        squeezed = F.regexp_replace("text", r"[\s,]", "")
+        there = pages.join(asked, "unit").select("unit", F.explode(F.filter("tokens", lambda x: F.contains(squeezed, x))).alias("token")).distinct()
+        both = both.filter((F.col("kind") == "phantom") | deficit).join(there.withColumn("kind", F.lit("phantom")), ["unit", "token", "kind"], "left_anti")
     return both.select("unit", "kind", "token", "extracted", "printed", F.length("token").alias("length"), F.abs(F.col("printed") - F.col("extracted")).alias("gap"))
 
 
+def section_noise(sections: DataFrame) -> DataFrame:
+    """(unit, token) of the section ids (unit, section_id) that a page prints: the id, and every prefix of its number."""
+    number = F.regexp_replace("section_id", r"^[A-Za-z][.]", "")
+    parts = F.split(number, "[.]")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "."))
+    return sections.select("unit", F.explode(F.array_union(F.array("section_id"), prefixes)).alias("token")).distinct()
+
+
+def by_severity(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Findings (keys, token, length, gap) with their rank n: longer tokens and larger gaps first."""
+    return found.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("length"), F.desc("gap"), "kind", "token")))
+
+
+def findings(**found: DataFrame) -> DataFrame:
+    """Findings of several checks, each (unit, detail), as one table (unit, check, detail)."""
+    parts = [d.select("unit", F.lit(name).alias("check"), "detail") for name, d in found.items()]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def numeric_tokens(cells: DataFrame, unit: str, value: str) -> DataFrame:
     """(unit, token) of the cells that are nothing but a number."""
     token = F.regexp_replace(value, r"[,()\s%]", "")
@@ -125,20 +174,33 @@ def failed_self_checks(rows: DataFrame, column: str = "self_check", strict: bool
 
 
 def sheet_issues(cells: DataFrame, merges: DataFrame, first_row: int = 6) -> DataFrame:
-    """Structural findings (sheet, check, r) of cells(sheet, r, c, value) and merges(sheet, min_row, min_col, max_row, max_col)."""
-    lead = F.when((F.col("c") == 1) & F.col("value").rlike("^[0-9]+[a-z]?$|^[0-9]+([.][0-9]+)?$"), F.col("r"))
-    sheets = cells.groupBy("sheet").agg(F.max("r").alias("rows"), F.max("c").alias("cols"), F.coalesce(F.min(lead), F.lit(first_row)).alias("start"), F.max(F.when((F.col("r") == 1) & ~V.is_empty(F.col("value")), True)).alias("titled"))
+    """Structural findings (severity, sheet, check, r) of data sheets.
+
+    cells(sheet, r, c, value, is_number) has every cell that isn't empty, merges(sheet, min_row, min_col, max_row,
+    max_col) the merged regions.  Data begin at the first row whose first cell is a number or a row id.
+    """
+    cells, merges = (d.filter("upper(sheet) <> 'SUMMARY'") for d in (cells, merges))
+    lead = F.when((F.col("c") == 1) & (F.col("is_number") | F.trim("value").rlike("^[0-9]+[a-z]?$")), F.col("r"))
+    head = (F.col("c") == 1) & F.col("r").between(3, 7) & ~F.col("is_number") & F.lower("value").rlike("row_id|label|level")
+    sheets = cells.groupBy("sheet").agg(F.max("r").alias("rows"), F.max("c").alias("cols"), F.coalesce(F.min(lead), F.lit(first_row)).alias("start"), F.coalesce(F.bool_or((F.col("r") == 1) & (F.col("c") == 1) & ~V.is_empty(F.col("value"))), F.lit(False)).alias("titled"), F.bool_or(head).alias("headed"))
     anchors = cells.select("sheet", F.col("r").alias("min_row"), F.col("c").alias("min_col"), "value")
     merged = merges.join(sheets, "sheet").join(anchors, ["sheet", "min_row", "min_col"], "left")
-    rows = cells.join(sheets, "sheet").filter("r >= start").groupBy("sheet", "r").agg(F.collect_list(F.when(F.col("c") > 6, V.review_number(F.col("value")))).alias("nums"), F.count_if(~V.is_empty(F.col("value")) & (F.col("c") > 1)).alias("full"), F.bool_and(F.coalesce(F.trim("value"), F.lit("")) == "-").alias("dashes"))
-    say = lambda d, name, r="r": d.select("sheet", F.lit(name).alias("check"), F.col(r).cast("int").alias("r"))
+    rows = cells.join(sheets.select("sheet", "start"), "sheet").filter("r >= start")
+    number = F.when(F.col("c") >= 7, V.as_number(F.regexp_replace(F.trim("value"), ",", "")))
+    full = F.count_if((F.col("c") >= 7) & ~V.is_empty(F.col("value")))
+    # A zero counts as a dash in one test and as a value in the other, so no row is both blank and not all dashes.
+    dashes = F.bool_and((F.col("c") < 7) | V.is_empty(F.col("value")) | (F.col("is_number") & (V.as_number(F.col("value")) == 0)))
+    rows = rows.groupBy("sheet", "r").agg(F.collect_list(number).alias("nums"), full.alias("full"), dashes.alias("dashes"), F.bool_or(F.col("c") == 1).alias("named"), F.max(F.when(F.col("c") == 4, F.col("value"))).alias("row_type")).filter("named")
+    sparse = rows.join(merged.filter("min_row >= start").select("sheet", F.col("min_row").alias("r")).distinct(), ["sheet", "r"], "left_anti").filter("coalesce(row_type, '') not in ('total', 'section_header', 'note')")
+    say = lambda d, severity, name, r="r": d.select(F.lit(severity).alias("severity"), "sheet", F.lit(name).alias("check"), F.col(r).cast("int").alias("r"))
     found = [
-        say(sheets.filter("titled is null").withColumn("r", F.lit(1)), "no title"),
-        say(merged.filter((F.col("min_row") >= F.col("start")) & V.is_empty(F.col("value"))), "empty merge", "min_row"),
-        say(merged.filter("max_row > rows or max_col > cols"), "merge outside", "min_row"),
-        say(cells.filter("value like '=%'"), "formula"),
-        say(rows.filter(V.all_zero(F.col("nums"), 1)), "all zero"),
-        say(rows.filter("full = 0 and not dashes"), "no values"),
+        say(sheets.filter("not titled").withColumn("r", F.lit(1)), "ERROR", "header_present"),
+        say(sheets.filter("not headed").withColumn("r", F.lit(3)), "WARNING", "header_present"),
+        say(merged.filter((F.col("min_row") >= F.col("start")) & V.is_empty(F.col("value"))), "WARNING", "merge_value", "min_row"),
+        say(merged.filter("max_row > rows or max_col > cols"), "ERROR", "merge_orphan", "min_row"),
+        say(cells.filter("not is_number and value like '=%'"), "ERROR", "no_formula"),
+        say(rows.filter(V.all_zero(F.col("nums"), 1)), "WARNING", "all_zero_row"),
+        say(sparse.filter("full = 0 and not dashes"), "WARNING", "column_consistency"),
     ]
     out = found[0]
     for more in found[1:]:
@@ -146,6 +208,18 @@ def sheet_issues(cells: DataFrame, merges: DataFrame, first_row: int = 6) -> Dat
     return out
 
 
+def sheet_count(sheets: DataFrame) -> DataFrame:
+    """Per book (book, sheet): its data sheets, and the severity of what that says."""
+    n = F.count_if(F.upper("sheet") != "SUMMARY")
+    return sheets.groupBy("book").agg(n.alias("n")).withColumn("severity", F.when(F.col("n") == 0, "ERROR").otherwise("INFO"))
+
+
+def validation_summary(issues: DataFrame, keys: list[str]) -> DataFrame:
+    """Errors and warnings per key, and whether it passes: without an error."""
+    out = issues.groupBy(*keys).agg(F.count_if(F.col("severity") == "ERROR").alias("errors"), F.count_if(F.col("severity") == "WARNING").alias("warnings"))
+    return out.withColumn("passed", F.col("errors") == 0)
+
+
 def repeated_names(sheets: DataFrame) -> DataFrame:
     """Sheet names that occur more than once whatever their case."""
     return sheets.groupBy(F.lower("sheet").alias("name")).agg(F.count("*").alias("n")).filter("n > 1")
@@ -156,6 +230,28 @@ def grade(issues: Column) -> Column:
     return F.when(issues > 10, "red").when(issues >= 1, "yellow").otherwise("green")
 
 
+def sweep(units: DataFrame, issues: DataFrame, keys: list[str], shown: int = 3) -> DataFrame:
+    """Units (keys, error) graded by their issues (keys, ord, issue): (keys, error, n_issues, grade, first, n).
+
+    Units that could not be read keep their error and have no grade; n ranks them first, then by issues.  first are the
+    first issues.  A sweep is ranked as a whole: its rows are one per unit.
+    """
+    per = issues.groupBy(*keys).agg(F.count("*").alias("n_issues"), F.transform(F.slice(F.array_sort(F.collect_list(F.struct("ord", "issue"))), 1, shown), lambda x: x["issue"]).alias("first"))
+    rows = units.join(per, keys, "left").withColumn("n_issues", F.when(F.col("error").isNotNull(), -1).otherwise(F.coalesce("n_issues", F.lit(0))))
+    return rows.withColumn("grade", F.when(F.col("error").isNull(), grade(F.col("n_issues")))).orderBy(F.col("error").isNull(), F.desc("n_issues"), *keys)
+
+
+def table_record(tables: DataFrame) -> DataFrame:
+    """Tables (reconciles, flags, zero_rows, ...) with confidence and needs_review, as a summary sheet lists them."""
+    rows = tables.withColumn("confidence", confidence(F.col("reconciles"), F.col("flags"), F.col("zero_rows")))
+    return rows.withColumn("needs_review", (F.col("confidence") < 0.8) | (F.col("flags") > 0) | ~F.col("reconciles"))
+
+
+def summary_line(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Tables, those that need review, and the mean confidence."""
+    return records.groupBy(*keys).agg(F.count("*").alias("tables"), F.count_if("needs_review").alias("need_review"), F.round(F.avg("confidence"), 2).alias("avg_confidence"))
+
+
 def confidence(reconciles: Column, flags: Column, zero_rows: Column) -> Column:
     """1 less what doesn't reconcile, flags and all-zero rows cost, 0 at least."""
     return F.round(F.greatest(F.lit(0.0), 1 - F.when(reconciles, 0.0).otherwise(0.30) - F.least(F.lit(0.40), flags * 0.10) - F.least(F.lit(0.20), zero_rows * 0.05)), 2)

@@ -93,7 +93,7 @@ def split_date_blocks(rows: DataFrame, keys: list[str], order: str = "row_idx")
     rows = rows.withColumn("_split", (F.max("_block").over(whole) >= 2) & (F.min(F.when(F.col("_block") > 0, F.col("_full"))).over(whole) == 1))
     rows = rows.withColumn("block", F.when(F.col("_split"), F.greatest("_block", F.lit(1))).otherwise(1).cast("int"))
     rows = rows.withColumn("_date", F.max(F.when(F.col("_head"), date)).over(W.partitionBy(*keys, "block")))
-    title = F.trim("title")
+    title = F.trim(F.coalesce("title", F.lit("")))
     rows = rows.withColumn("title", F.when(~F.col("_split"), F.col("title")).when(title.isin("") | (title == F.col("_date")), F.col("_date")).otherwise(F.concat(title, F.lit(" — "), "_date")))
     return rows.filter("not (_split and _head)").drop("_head", "_block", "_full", "_split", "_date")
 
@@ -214,31 +214,84 @@ def flatten_blocks(blocks: DataFrame) -> DataFrame:
     import pandas as pd
 
     def text_of(block: dict) -> str:
-        own = (block.get("textBlock") or {}).get("text") or ""
-        inner = (block.get("textBlock") or {}).get("blocks") or block.get("blocks") or []
-        return " ".join(x for x in [own, *map(text_of, inner)] if x).strip()
+        words = block.get("textBlock") or {}
+        inner = [*(words.get("blocks") or []), *(block.get("blocks") or [])]
+        return " ".join(x for x in [words.get("text") or "", *map(text_of, inner)] if x).strip()
 
-    def walk(items: list, heading: str, page: int | None, out: list) -> str:
+    def cell(c: dict) -> tuple:
+        return " ".join(x for x in map(text_of, c.get("blocks") or []) if x).strip(), c.get("rowSpan", 1), c.get("colSpan", 1)
+
+    def walk(items: list, heading: str) -> Iterator[tuple]:
+        """(heading, page, [(is_header, cells)]) of every table; the innermost text block with a text that holds it heads it."""
         for block in items:
-            page = (block.get("pageSpan") or {}).get("pageStart", page)
-            table, words = block.get("tableBlock"), block.get("textBlock")
-            if words:
-                if str(words.get("type", "")).startswith("heading"):
-                    heading = words.get("text") or heading
-                heading = walk(words.get("blocks") or [], heading, page, out)
-            if table:
-                rows = [*(table.get("headerRows") or []), *(table.get("bodyRows") or [])]
-                out.append((heading, page, [[" ".join(map(text_of, c.get("blocks") or [])) for c in r.get("cells") or []] for r in rows]))
-        return heading
+            words, table = block.get("textBlock") or {}, block.get("tableBlock")
+            if table is not None:
+                page = (block.get("pageSpan") or {}).get("pageStart", 1)
+                yield heading, page, [(is_header, [cell(c) for c in r.get("cells") or []]) for part, is_header in (("headerRows", True), ("bodyRows", False)) for r in table.get(part) or []]
+            yield from walk(words.get("blocks") or [], words.get("text") or heading)
+            yield from walk(block.get("blocks") or [], heading)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for doc, raw in zip(part["doc_id"], part["raw"], strict=True):
-                found: list = []
-                walk((json.loads(raw).get("document") or {}).get("documentLayout", {}).get("blocks") or [], "", None, found)
-                rows += [(doc, n, title, page, i, cells) for n, (title, page, table) in enumerate(found) for i, cells in enumerate(table)]
-            yield pd.DataFrame(rows, columns=["doc_id", "table_no", "title", "page", "row", "cells"])
+                blocks = (json.loads(raw).get("document") or {}).get("documentLayout", {}).get("blocks") or []
+                for n, (title, page, table) in enumerate(walk(blocks, "")):
+                    rows += [(doc, n, title, page, i, head, [dict(zip(("text", "row_span", "col_span"), c, strict=True)) for c in cells]) for i, (head, cells) in enumerate(table)]
+            yield pd.DataFrame(rows, columns=["doc_id", "table_no", "title", "page", "row", "is_header", "cells"])
 
     kind = dict(blocks.dtypes)["doc_id"]
-    return blocks.select("doc_id", "raw").mapInPandas(run, f"doc_id {kind}, table_no int, title string, page int, `row` int, cells array<string>")
+    return blocks.select("doc_id", "raw").mapInPandas(run, f"doc_id {kind}, table_no int, title string, page int, `row` int, is_header boolean, cells array<struct<text string, row_span int, col_span int>>")
+
+
+def header_rows(rows: DataFrame) -> DataFrame:
+    """Per table of flatten_blocks: its header rows, its rows, and whether any cell is merged."""
+    merged = F.bool_or(F.exists("cells", lambda c: (c["row_span"] > 1) | (c["col_span"] > 1)))
+    return rows.groupBy("doc_id", "table_no", "title", "page").agg(F.count_if("is_header").cast("int").alias("header_rows"), F.count("*").cast("int").alias("n_rows"), merged.alias("merged"))
+
+
+def layout_spans(rows: DataFrame, grid: DataFrame, n_cols: DataFrame, keys: list[str]) -> DataFrame:
+    """Values and spans of extracted rows by the layout's grid, whose absent cells are merges.
+
+    rows(keys, ord, row_id, row_type), grid(keys, row, col, text, col_span, is_col_header, is_row_header), n_cols(keys,
+    n_cols) give (keys, ord, col_idx from 0, value, span).  A row finds its grid row by the id printed in the first column,
+    else by its position among the grid's data rows; headers and notes are left out, rows beyond the grid too.  The first
+    data column is the first that has a plain numeric or blank cell.
+    """
+    heads = grid.filter("is_col_header").select(*keys, "row").distinct()
+    data = grid.join(heads, [*keys, "row"], "left_anti")
+    ids = data.filter("col = 0 and trim(text) <> ''").groupBy(*keys, F.trim("text").alias("_id")).agg(F.max("row").alias("_by_id"))
+    places = data.select(*keys, "row").distinct().select(*keys, F.col("row").alias("_by_place"), F.row_number().over(W.partitionBy(*keys).orderBy("row")).alias("_n"))
+    plain = data.filter(~F.col("is_row_header") & (F.col("col_span") == 1) & V.is_numeric_cell(F.col("text")))
+    offset = plain.groupBy(*keys).agg(F.min("col").alias("_from"))
+    own = rows.filter("row_type not in ('section_header', 'note')").withColumn("_id", F.trim(F.coalesce("row_id", F.lit(""))))
+    own = own.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy("ord")))
+    own = own.join(ids, [*keys, "_id"], "left").join(places, [*keys, "_n"], "left").withColumn("row", F.coalesce("_by_id", "_by_place")).filter("row is not null")
+    cells = own.select(*keys, "ord", "row").join(data.join(offset, keys, "left"), [*keys, "row"]).join(n_cols, keys)
+    cells = cells.withColumn("col_idx", F.col("col") - F.coalesce("_from", F.lit(0))).filter("col_idx between 0 and n_cols - 1")
+    text = F.trim(F.coalesce("text", F.lit("")))
+    value = F.when(F.col("is_row_header") | (text == ""), None).when(text.isin("-", "–", "—"), "-").otherwise(F.regexp_replace(text, ",", ""))
+    until = F.coalesce(F.lead("col_idx").over(W.partitionBy(*keys, "ord").orderBy("col_idx")), F.col("n_cols"))
+    return cells.select(*keys, "ord", "col_idx", value.alias("value"), F.when(F.col("col_span") > 1, F.col("col_span")).otherwise(until - F.col("col_idx")).cast("int").alias("span"))
+
+
+def column_map(columns: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns (keys, col, heads_rows) that hold data, numbered c1, c2, ... from the left."""
+    data = columns.filter("not heads_rows")
+    return data.select(*keys, "col", F.concat(F.lit("c"), F.row_number().over(W.partitionBy(*keys).orderBy("col"))).alias("col_id"))
+
+
+def with_borders(cells: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells (keys, row_id, col_idx, value) corrected by border information (keys, row_id, col_idx, span, value).
+
+    An anchor's value replaces the cell's and its span is kept; the cells that a span covers go.
+    """
+    anchors = borders.select(*keys, "row_id", "col_idx", "span", F.col("value").alias("_v"), F.lit(True).alias("_b"))
+    covered = borders.filter("span > 1").select(*keys, "row_id", F.explode(F.sequence(F.col("col_idx") + 1, F.col("col_idx") + F.col("span") - 1)).alias("col_idx")).distinct()
+    out = cells.join(covered, [*keys, "row_id", "col_idx"], "left_anti").join(anchors, [*keys, "row_id", "col_idx"], "left")
+    return out.withColumn("value", F.when(F.col("_b"), F.col("_v")).otherwise(F.col("value"))).withColumn("span", F.coalesce("span", F.lit(1))).drop("_v", "_b")
+
+
+def repaired(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Both structural repairs, in order: dated blocks become tables of their own, then parents are filled in each."""
+    return fill_parents(split_date_blocks(rows, keys), [*keys, "block"])

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tableloom.scratch import Scratch
+
+RANGES = 64  # parts of a running sum
+
 
 def call_cost(prompt: Column, output: Column, thinking: Column, price_in: float, price_out: float) -> Column:
     """Dollars of a call, prices per million tokens; thinking is charged as output."""
@@ -24,7 +28,9 @@ def running_ledger(calls: DataFrame, order: list[str], cost: str, keys: list[str
     if keys:
         w = W.partitionBy(*keys).orderBy(*order)
         return calls.withColumn("n", F.row_number().over(w)).withColumn("cumulative", F.sum(cost).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    dealt = calls.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    # Written once: where a row's range ends may differ when its partition is made again.
+    calls = Scratch(calls.sparkSession, "ledger").save(calls.repartitionByRange(RANGES, *order).withColumn("_p", F.spark_partition_id()), "dealt")
+    dealt = calls
     own = W.partitionBy("_p").orderBy(*order)
     rows = dealt.withColumn("_n", F.row_number().over(own)).withColumn("_c", F.sum(cost).over(own.rowsBetween(W.unboundedPreceding, 0)))
     sums = rows.groupBy("_p").agg(F.count("*").alias("_k"), F.sum(cost).alias("_s"))  # a row per partition
@@ -60,6 +66,7 @@ def unique_names(rows: DataFrame, base: str, order: list, keys: list[str], width
 
     A suffix may meet a name that is itself suffixed, so names are counted again until all differ.
     """
+    scratch, n = Scratch(rows.sparkSession, "names"), 0
     rows = rows.withColumn("name", F.substring(base, 1, width)).withColumn("_k", F.lit(1))
     while True:
         w = W.partitionBy(*keys, F.col("name")).orderBy("_k", *order)
@@ -69,16 +76,26 @@ def unique_names(rows: DataFrame, base: str, order: list, keys: list[str], width
         rows = rows.withColumn("_k", again)
         suffix = F.when(F.col("_k") > 1, F.concat(F.lit(" ("), F.col("_k").cast("string"), F.lit(")"))).otherwise("")
         rows = rows.withColumn("name", F.concat(F.substr(F.col(base), F.lit(1), F.lit(width) - F.length(suffix)), suffix))
+        rows, n = scratch.save(rows, f"round-{n}"), n + 1
         if rows.groupBy(*keys, "name").count().filter("count > 1").isEmpty():
             return rows.drop("_k", "_d")
 
 
+def cost_summary(calls: DataFrame, keys: list[str]) -> DataFrame:
+    """A run's cost summary (keys, summary) as JSON: totals, then its calls in order of n."""
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0)))
+    every = F.array_sort(F.collect_list(F.struct("n", "label", "prompt_tokens", "output_tokens", "thinking_tokens", "est_cost_usd")))
+    tokens = total("prompt_tokens") + total("output_tokens") + total("thinking_tokens")
+    totals = F.struct(F.count("*").alias("calls"), total("prompt_tokens").alias("input_tokens"), total("output_tokens").alias("output_tokens"), total("thinking_tokens").alias("thinking_tokens"), tokens.alias("total_tokens"), F.round(total("est_cost_usd"), 5).alias("est_cost_usd"))
+    return calls.groupBy(*keys).agg(F.to_json(F.struct(totals.alias("totals"), every.alias("calls"))).alias("summary"))
+
+
 def sheet_order(name: str) -> list[Column]:
     """Contents first, cost last, parts by letter, sections by number, tables by theirs."""
     c = F.col(name)
     rank = F.when(c == "Contents", 0).when(c.startswith("Cost"), 2).otherwise(1)
     number = F.transform(F.regexp_extract_all(c, F.lit("([0-9]+)"), F.lit(1)), lambda x: x.try_cast("int"))
-    return [rank, F.regexp_extract(c, "^([A-E])[.]", 1), number, c]
+    return [rank, F.regexp_extract(c, "^([A-Z])[.]", 1), number, c]
 
 
 def top_types(rows: DataFrame, what: str, n: int = 4) -> DataFrame:

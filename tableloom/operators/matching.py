@@ -33,43 +33,47 @@ def drop_next_section(tables: DataFrame) -> DataFrame:
 def route_tables(tables: DataFrame, leaves: DataFrame, reuse: float = 0.5, sure: float = 0.34) -> DataFrame:
     """Each table (page, l_ord, section_id, title) of a shared page to one leaf (page, r_ord, number, title).
 
-    By its tag; else greedily by best title score, a taken leaf again only from reuse on; else to the last matched
-    leaf above it, or in order.  Ties go to the earlier pair.  What the greedy choice takes depends on the choices
-    before it, so a page, which holds few tables, is one group.
+    A table's tag names its leaf.  Untagged tables take leaves by title score, best first, ties to the earlier pair,
+    a leaf that has a table again only from reuse on.  The others go to the leaf of the last placed table above
+    them; those above every placed one take the leaves that are left over, in order, and then the last leaf.
+    flagged: without a title or tag to go by, below sure, or on a page of more or fewer tables than leaves.
     """
-    pairs = score_pairs(tables, leaves, ["page"], "title", "title").select("page", "l_ord", "r_ord", "score")
-    own = tables.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("l_ord", F.trim(F.coalesce("section_id", F.lit(""))).alias("tag")))).alias("tables"))
-    places = leaves.groupBy("page").agg(F.array_sort(F.collect_list(F.struct(T.section_key(F.col("number")).alias("k"), "r_ord", "number"))).alias("leaves"))
-    scored = pairs.groupBy("page").agg(F.collect_list(F.struct("score", "l_ord", "r_ord")).alias("pairs"))
-    work = own.join(places, "page").join(scored, "page", "left")
-
-    def assign(parts):
-        for part in parts:
-            rows = []
-            for page, own, places, pairs in zip(part["page"], part["tables"], part["leaves"], part["pairs"], strict=True):
-                order = [x["r_ord"] for x in places]
-                by_number = {x["number"]: x["r_ord"] for x in places}
-                chosen = {t["l_ord"]: (by_number[t["tag"]], "section_id", 1.0) for t in own if t["tag"] in by_number}
-                taken, untagged = {c[0] for c in chosen.values()}, {t["l_ord"] for t in own} - set(chosen)
-                for p in sorted(pairs if pairs is not None else [], key=lambda p: (-p["score"], p["l_ord"], order.index(p["r_ord"]))):
-                    if p["l_ord"] in untagged and p["l_ord"] not in chosen and not (p["r_ord"] in taken and p["score"] < reuse):
-                        chosen[p["l_ord"]] = (p["r_ord"], "title", p["score"])
-                        taken.add(p["r_ord"])
-                free, last = [r for r in order if r not in taken], None
-                for t in own:
-                    n = t["l_ord"]
-                    if n in chosen:
-                        last = chosen[n][0]
-                    elif last is not None:
-                        chosen[n] = (last, "overflow", 0.0)
-                    else:
-                        chosen[n] = (free.pop(0) if free else order[-1], "order", 0.0)
-                    leaf, how, score = chosen[n]
-                    rows.append((page, n, leaf, how, float(score), how in ("order", "overflow") or score < sure or len(own) != len(order)))
-            yield pd.DataFrame(rows, columns=["page", "l_ord", "r_ord", "method", "score", "flagged"])
-
-    kinds = dict(tables.dtypes)
-    return work.mapInPandas(assign, f"page {kinds['page']}, l_ord {kinds['l_ord']}, r_ord {dict(leaves.dtypes)['r_ord']}, method string, score double, flagged boolean")
+    place = W.partitionBy("page").orderBy(T.section_key(F.col("number")), "r_ord")
+    ranked = leaves.withColumn("_k", F.row_number().over(place))
+    tags = ranked.groupBy("page", F.col("number").alias("_tag")).agg(F.max("r_ord").alias("_tagged"))
+    rows = tables.withColumn("_tag", F.trim(F.coalesce("section_id", F.lit("")))).join(tags, ["page", "_tag"], "left")
+
+    pairs = score_pairs(rows.filter("_tagged is null"), leaves, ["page"], "title", "title").select("page", "l_ord", "r_ord", "score")
+    taken = rows.filter("_tagged is not null").select("page", F.col("_tagged").alias("r_ord")).distinct().withColumn("taken", F.lit(True))
+    pairs = pairs.join(ranked.select("page", "r_ord", "_k"), ["page", "r_ord"]).join(taken, ["page", "r_ord"], "left").fillna(False, ["taken"])
+    kinds = dict(pairs.dtypes)
+
+    def greedy(pairs: pd.DataFrame) -> pd.DataFrame:
+        """What a page's pairs take depends on what better pairs took before; a page holds few tables."""
+        pairs = pairs.sort_values(["score", "l_ord", "_k"], ascending=[False, True, True])
+        full, placed, keep = set(pairs["r_ord"][pairs["taken"]]), set(), []
+        for table, leaf, score in zip(pairs["l_ord"], pairs["r_ord"], pairs["score"], strict=True):
+            fits = table not in placed and (score >= reuse or leaf not in full)
+            keep.append(fits)
+            if fits:
+                placed.add(table)
+                full.add(leaf)
+        return pairs.loc[keep, ["page", "l_ord", "r_ord", "score"]]
+
+    titled = pairs.groupBy("page").applyInPandas(greedy, f"page {kinds['page']}, l_ord {kinds['l_ord']}, r_ord {kinds['r_ord']}, score double")
+    rows = rows.select("page", "l_ord", "_tagged").join(titled.select("page", "l_ord", F.col("r_ord").alias("_titled"), F.col("score").alias("_score")), ["page", "l_ord"], "left")
+    above = W.partitionBy("page").orderBy("l_ord").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_own", F.coalesce("_tagged", "_titled")).withColumn("_above", F.last("_own", True).over(above))
+    rows = rows.withColumn("_n", F.row_number().over(W.partitionBy("page", F.coalesce("_own", "_above").isNull()).orderBy("l_ord")))
+    free = ranked.join(rows.filter("_own is not null").select("page", F.col("_own").alias("r_ord")).distinct(), ["page", "r_ord"], "left_anti")
+    free = free.select("page", F.row_number().over(W.partitionBy("page").orderBy("_k")).alias("_n"), F.col("r_ord").alias("_free"))
+    ends = ranked.groupBy("page").agg(F.max_by("r_ord", "_k").alias("_last"), F.count("*").alias("_leaves"))
+    sizes = tables.groupBy("page").agg(F.count("*").alias("_tables"))
+    rows = rows.join(free, ["page", "_n"], "left").join(ends, "page").join(sizes, "page")
+    method = F.when(F.col("_tagged").isNotNull(), "section_id").when(F.col("_titled").isNotNull(), "title").when(F.col("_above").isNotNull(), "overflow").otherwise("order")
+    score = F.when(F.col("_tagged").isNotNull(), 1.0).otherwise(F.coalesce("_score", F.lit(0.0)))
+    flagged = method.isin("order", "overflow") | (score < sure) | (F.col("_tables") != F.col("_leaves"))
+    return rows.select("page", "l_ord", F.coalesce("_own", "_above", "_free", "_last").alias("r_ord"), method.alias("method"), score.alias("score"), flagged.alias("flagged"))
 
 
 def match_tabs(golden: DataFrame, produced: DataFrame, key: str, least: float = 0.34) -> DataFrame:
@@ -133,6 +137,21 @@ def sheet_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("a", plain(F.col("a"))).withColumn("b", plain(F.col("b"))).filter("a <> b")
 
 
+def sheet_sets(a: DataFrame, b: DataFrame, ignore: list[str] | None = None) -> DataFrame:
+    """Two books' sheets (book, sheet, ord): per book those only in one, and whether shared ones stand in the same order.
+
+    The result is one row per book: only_a, only_b, order_a, order_b (arrays in order), same_order, identical.
+    """
+    ignore = ignore or []
+    side = lambda d, name: d.filter(~F.col("sheet").isin(ignore)).select("book", "sheet", F.col("ord").alias(name))
+    both = side(a, "a").join(side(b, "b"), ["book", "sheet"], "full")
+    names = lambda when, by: F.transform(F.array_sort(F.collect_list(F.when(when, F.struct(by, "sheet")))), lambda x: x["sheet"])
+    shared = F.col("a").isNotNull() & F.col("b").isNotNull()
+    out = both.groupBy("book").agg(names(F.col("b").isNull(), "a").alias("only_a"), names(F.col("a").isNull(), "b").alias("only_b"), names(shared, "a").alias("order_a"), names(shared, "b").alias("order_b"))
+    out = out.withColumn("same_order", F.col("order_a") == F.col("order_b"))
+    return out.withColumn("identical", F.col("same_order") & (F.size("only_a") == 0) & (F.size("only_b") == 0))
+
+
 def extraction_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Two extractions (element, series, period, ord, value) by key: same, changed, only_a, only_b.
 
@@ -184,6 +203,31 @@ def corroborate(points: DataFrame, pages: DataFrame, legacy: bool = False) -> Da
     return rows.select(*rest, F.when(apt & F.col("hit").isNull(), "unverified").otherwise(F.col("source")).alias("source"), pick("extracted_by", F.lit("textlayer-verified"), F.lit("unverified")), pick("confidence", F.lit(1.0), F.lit(0.4)))
 
 
+def diff_summary(diff: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts of the verdicts of extraction_diff and the share that matches, in per cent of all keys."""
+    n = {v: F.count_if(F.col("verdict") == v) for v in ("same", "changed", "only_a", "only_b")}
+    return diff.groupBy(*keys).agg(F.count("*").alias("total_keys"), *(c.alias(v) for v, c in n.items()), F.round(100 * n["same"] / F.greatest(F.count("*"), F.lit(1)), 1).alias("match_pct"))
+
+
+def run_comparison(summaries: DataFrame, keys: list[str]) -> DataFrame:
+    """Mean match and total costs of compared runs (keys, match_pct, cost_a, cost_b); runs that failed have no match_pct."""
+    good = summaries.filter("match_pct is not null")
+    return good.groupBy(*keys).agg(F.round(F.avg("match_pct"), 1).alias("avg_match"), F.round(F.sum("cost_a"), 5).alias("cost_a"), F.round(F.sum("cost_b"), 5).alias("cost_b"), F.round(F.sum("cost_a") - F.sum("cost_b"), 5).alias("cost_diff"))
+
+
+def diff_report(diff: DataFrame, keys: list[str]) -> DataFrame:
+    """A comparison as ordered lines of text: (keys, report); what changed, then what one side lacks, then what agrees."""
+    key = F.format_string("[%s] %s / %s", F.coalesce("element", F.lit("")), F.coalesce("series", F.lit("")), F.coalesce("period", F.lit("")))
+    line = F.when(F.col("verdict") == "changed", F.concat(F.lit("changed: "), key, F.lit(": "), F.coalesce("a", F.lit("")), F.lit(" -> "), F.coalesce("b", F.lit(""))))
+    line = line.when(F.col("verdict") == "only_a", F.concat(F.lit("only in a: "), key, F.lit(" = "), F.coalesce("a", F.lit(""))))
+    line = line.when(F.col("verdict") == "only_b", F.concat(F.lit("only in b: "), key, F.lit(" = "), F.coalesce("b", F.lit(""))))
+    line = line.otherwise(F.concat(F.lit("same: "), key, F.lit(" = "), F.coalesce("a", F.lit(""))))
+    rank = F.array_position(F.array(*map(F.lit, ["changed", "only_a", "only_b", "same"])), F.col("verdict"))
+    rows = diff.withColumn("_r", rank).withColumn("_l", line)
+    ordered = F.array_sort(F.collect_list(F.struct("_r", "element", "series", "period", "_l")))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["_l"]), "\n").alias("report"))
+
+
 def cached(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """The work that no finished unit of the same document, pages and prompt covers."""
     return work.join(done.filter("not partial").select(*keys).distinct(), keys, "left_anti")

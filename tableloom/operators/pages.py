@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tableloom.functions import text as T
 
-# Words that tell tables from narrative in section titles, and what opens a contents page.
-TABLE_WORDS = r"(?i)\b(overview|template|breakdown|table|composition|reconciliation|exposures?|ratio|requirements?|summary|statement)\b"
-NARRATIVE_WORDS = r"(?i)\b(introduction|governance|policy|policies|approach|management|framework|qualitative|abbreviations?)\b"
-CONTENTS = r"(?i)\bcontents\b"
+# Words that tell tables from narrative in section titles, what opens a contents page, sheets that stay.
+TABLE_WORDS = (
+    "(?i)METRICS|RATIO|RWA|RISK.WEIGHTED|FLOW STATEMENT|LCR|LEVERAGE|OVERVIEW|AVERAGE|COMPARISON|CREDIT RISK|COUNTERPARTY|SECURITI|"
+    "MARKET RISK|CVA|OPERATIONAL|IRRBB|NSFR|BACKTESTING|COLLATERAL|EXPOSURE|CAPITAL|COMPOSITION|LINKAGE|PRUDENT|G.SIB|ASSET ENCUMB|"
+    "QUANTITATIVE|DISCLOSURES|LOSSES|INDICATOR|MINIMUM"
+)
+NARRATIVE_WORDS = r"(?i)^(INTRODUCTION|SCOPE|ABBREVIATION|ATTESTATION|QUALITATIVE\s+DISC)"
+CONTENTS = "(?i)content"
+LASTING_SHEETS = ["Contents", "Cost"]
 
 
 def page_text(pages: DataFrame, keys: list[str], marked: bool = False) -> DataFrame:
@@ -19,14 +24,14 @@ def page_text(pages: DataFrame, keys: list[str], marked: bool = False) -> DataFr
     return pages.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["body"]), "\n").alias("text"))
 
 
-def wanted(pages: DataFrame, units: DataFrame) -> DataFrame:
-    """Pages of each unit (unit_id, pages array): the projection that is sent on."""
-    return units.select("unit_id", F.explode("pages").alias("page_no")).join(pages, "page_no")
+def wanted(pages: DataFrame, units: DataFrame, keys: list[str]) -> DataFrame:
+    """Pages (keys, page_no) of each unit (keys, unit_id, pages array): the projection that is sent on."""
+    return units.select(*keys, "unit_id", F.explode("pages").alias("page_no")).join(pages, [*keys, "page_no"])
 
 
-def needed_once(units: DataFrame) -> DataFrame:
+def needed_once(units: DataFrame, keys: list[str]) -> DataFrame:
     """Every page that some unit needs, once."""
-    return units.select(F.explode("pages").alias("page_no")).distinct()
+    return units.select(*keys, F.explode("pages").alias("page_no")).distinct()
 
 
 def has_table_rules(edges: DataFrame, pages: DataFrame, least: int = 5, share: float = 0.1) -> DataFrame:
@@ -57,19 +62,24 @@ def section_lines(text: Column) -> Column:
 
 
 def looks_like_contents(text: Column) -> Column:
-    return text.rlike(CONTENTS) | text.rlike(r"(?i)\bPART\s+[A-E]\b") | (section_lines(text) >= 3)
+    return text.rlike(CONTENTS) | text.rlike(r"(?m)^PART\s+[A-Z]") | (section_lines(text) >= 3)
 
 
 def table_titles(sections: DataFrame) -> DataFrame:
     """Sections whose titles speak of tables and not of narrative."""
-    return sections.filter(F.col("title").rlike(TABLE_WORDS) & ~F.col("title").rlike(NARRATIVE_WORDS))
+    return sections.filter(F.col("title").rlike(TABLE_WORDS) & ~F.trim("title").rlike(NARRATIVE_WORDS))
 
 
-def plausible(sections: DataFrame, most: int = 300) -> DataFrame:
-    """Per document: ok and the reason, from the number of sections and of anchors beyond its pages."""
+def plausible(sections: DataFrame, most: int = 300, documents: DataFrame | None = None) -> DataFrame:
+    """Per document: ok and the reason, from the number of sections and of anchors beyond its pages.
+
+    documents (doc_id) adds those that have no sections at all.
+    """
     bad = F.count_if((F.col("start_page") < 1) | (F.col("start_page") > F.col("n_pages")) | F.col("start_page").isNull())
     out = sections.groupBy("doc_id").agg(F.count("*").alias("n"), bad.alias("bad"))
-    reason = F.when(F.col("n") > most, "too many sections").when(F.col("bad") > F.greatest(F.lit(3.0), F.col("n") / 3), "anchors outside").otherwise("")
+    if documents is not None:
+        out = documents.select("doc_id").distinct().join(out, "doc_id", "left").fillna(0, ["n", "bad"])
+    reason = F.when(F.col("n") == 0, "no sections").when(F.col("n") > most, "too many sections").when(F.col("bad") > F.greatest(F.lit(3.0), F.col("n") / 3), "anchors outside").otherwise("")
     return out.withColumn("reason", reason).withColumn("ok", F.col("reason") == "")
 
 
@@ -81,9 +91,9 @@ def cap_tables(tables: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def manifest(tables: DataFrame) -> DataFrame:
-    """Tables (path array<int>, start_page, end_page, dates array<string>) numbered in reading order, one per date."""
-    rows = tables.select("path", "start_page", "end_page", F.posexplode_outer("dates").alias("k", "date"))
-    n = F.row_number().over(W.orderBy("path", "start_page", F.coalesce("k", F.lit(0))))  # a document's tables are few
+    """Tables (doc_id, path array<int>, start_page, end_page, dates array<string>) numbered in reading order within a document, one per date."""
+    rows = tables.select("doc_id", "path", "start_page", "end_page", F.posexplode_outer("dates").alias("k", "date"))
+    n = F.row_number().over(W.partitionBy("doc_id").orderBy("path", "start_page", F.coalesce("k", F.lit(0))))
     rows = rows.withColumn("table_no", n)
     pages = F.array_join(F.transform(F.sequence("start_page", "end_page"), lambda p: p.cast("string")), "+")
     return rows.withColumn("table_id", F.format_string("t%03d_p%d", "table_no", "start_page")).withColumn("pages", pages).drop("k")
@@ -94,8 +104,9 @@ def clamp(page: Column, low: Column, high: Column) -> Column:
 
 
 def stale_sheets(sheets: DataFrame, most_rows: int = 6) -> DataFrame:
-    """Sheets (name, n_data, n_rows) to remove: numbered copies, and short ones without a data cell."""
-    return sheets.filter(F.col("name").rlike(r"\([0-9]+\)$") | ((F.col("n_data") == 0) & (F.col("n_rows") <= most_rows)))
+    """Sheets (name, n_data, n_rows) to remove: numbered copies, and short ones without a data cell; contents and costs stay."""
+    stale = F.col("name").rlike(r"\([0-9]+\)$") | ((F.col("n_data") == 0) & (F.col("n_rows") <= most_rows))
+    return sheets.filter(~F.col("name").isin(LASTING_SHEETS) & stale)
 
 
 def sheet_exists(sections: DataFrame, sheets: DataFrame) -> DataFrame:
@@ -105,8 +116,8 @@ def sheet_exists(sections: DataFrame, sheets: DataFrame) -> DataFrame:
 
 
 def resume_from(groups: DataFrame, order: list, start: str) -> DataFrame:
-    """Groups (section_id, ...) from a given one on, in order."""
-    seen = F.max((F.col("section_id") == start).cast("int")).over(W.orderBy(*order))  # a document's sections are few
+    """Groups (doc_id, section_id, ...) of each document from a given one on, in order."""
+    seen = F.max((F.col("section_id") == start).cast("int")).over(W.partitionBy("doc_id").orderBy(*order))
     return groups.withColumn("_s", seen).filter("_s = 1").drop("_s")
 
 

@@ -8,9 +8,10 @@ from tableloom.functions import text as T, values as V
 from tableloom.operators.sections import keep_first
 
 # Fixed values.
-ROW_TYPE_ALIASES = {"header": "section_header", "opening": "start", "closing": "end", "component": "bridge", "footnote": "note"}
+ROW_TYPE_ALIASES = {"header": "section_header", "sub_header": "sub", "opening": "start", "closing": "end", "component": "bridge", "commentary": "note", "footnote": "note"}
 KNOWN = ["series", "period", "value", "row_type", "level", "parent", "group", "sign", "order"]
-VISUAL = ["waterfall", "bar_chart", "stacked_bar", "line_chart", "donut", "pie_chart", "combo_chart", "kpi_grid"]
+VISUAL = ["waterfall", "stacked_bar", "stacked_bar_with_overlay", "trend_line", "kpi_grid", "pie", "donut_dual_ring"]
+KNOWN_TYPES = ["text_table", *VISUAL, "npa_movement_table", "none"]
 META_KEYS = ["suppressed", "concept_id", "confidence", "source_ref", "extracted_by"]
 
 SLIDE = "slide_title string, elements array<struct<element_idx int, element_type string, element_title string, source string, units string, self_check string, data_points array<string>>>"

@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tableloom.functions import text as T
 
-PART = r"(?i)^\s*PART\s+([A-E])\b[\s:.-]*(.*)$"
+# The grammar of printed contents.
+PART = r"(?i)^PART\s+([A-Z])\b\s*[:\-]?\s*(.+?)(?:\.{2,}|…|$)"
 ENTRY = r"^\s*[0-9]+(?:[.][0-9]+)*[.]?\s+\S"
 REF_END = r"([A-E]-[0-9]{1,3}|[0-9]{1,4})\s*$"
-WITH_REF = r"^\s*([0-9]+(?:[.][0-9]+)*)[.]?\s+(.*?)[\s.…]+([A-E]\s*-\s*[0-9]{1,3}|[0-9]{1,4})\s*$"
-WITHOUT_REF = r"^\s*([0-9]+[.][0-9]+(?:[.][0-9]+)*)[.]?\s*([A-Za-z(].*?)?\s*$"
+WITH_REF = r"^([0-9]+(?:[.][0-9]+)*)[.]?\s+(.+?)[\s.…]{2,}\s*([A-E]-[0-9]{1,3}|[0-9]{1,4})\s*$"
+WITHOUT_REF = r"^([0-9]+[.][0-9]+(?:[.][0-9]+)*)[.]?\s*([A-Za-z(].*?)?\s*$"
+BARE_NUMBER = r"^[0-9]+[.][0-9]+(?:[.][0-9]+)*$"
+PAGE_HEAD = r"(?i)CONTENTS\s+Page|DBS GROUP|OCBC|UOB GROUP"
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
@@ -51,13 +54,13 @@ def merge_wrapped(lines: DataFrame) -> DataFrame:
 
 def parse_contents(entries: DataFrame) -> DataFrame:
     """Logical entries as (doc_id, entry, kind, part, number, section_id, title, page_ref), the first of each id."""
-    line = F.regexp_replace("line", r"[.…]{2,}", "  ")
-    part = F.nullif(F.upper(F.regexp_extract(line, PART, 1)), F.lit(""))
+    clean = F.regexp_replace("line", r"[.…]{2,}", "  ")
+    part = F.nullif(F.upper(F.regexp_extract(clean, PART, 1)), F.lit(""))
     rows = entries.withColumn("own", part).withColumn("part", F.last("own", True).over(W.partitionBy("doc_id").orderBy("entry")))
     ref, bare = F.col("line").rlike(WITH_REF), F.col("line").rlike(WITHOUT_REF)
     number = F.when(ref, F.regexp_extract("line", WITH_REF, 1)).otherwise(F.regexp_extract("line", WITHOUT_REF, 1))
     plain = F.rtrim(F.regexp_replace(F.regexp_extract("line", WITHOUT_REF, 2), "[. ]+$", ""))
-    title = F.when(F.col("own").isNotNull(), F.regexp_replace(F.trim(F.regexp_extract(line, PART, 2)), "[. ]+$", "")).when(ref, F.regexp_extract("line", WITH_REF, 2)).otherwise(F.coalesce(F.nullif(plain, F.lit("")), number))
+    title = F.when(F.col("own").isNotNull(), F.regexp_replace(F.trim(F.regexp_extract(clean, PART, 2)), "[. ]+$", "")).when(ref, F.regexp_extract("line", WITH_REF, 2)).otherwise(F.coalesce(F.nullif(plain, F.lit("")), number))
     rows = rows.filter(F.col("own").isNotNull() | ref | bare).select(
         "doc_id",
         "entry",
@@ -192,44 +195,39 @@ def chunks(rows: DataFrame, keys: list[str], order: str, size: int = 2, whole_fr
 def two_column_contents(lines: DataFrame) -> DataFrame:
     """Contents lines (doc_id, line_no, line) with two-column pages repaired.
 
-    Text extraction can give a page's section numbers as a run of bare numbers and their titles as a block of
-    lines without numbers after it.  Every number of a run of at least two, no more than three lines apart, takes
-    an equal share of the block's lines, the last one the remainder.  A document's contents are small; each is one
-    group.
+    Text extraction can give a page's dotted section numbers as a run of bare numbers and their titles as a block of
+    lines further down.  The numbers of a run of at least two, each no more than three lines after the one before,
+    take equal shares of the block's lines, the last one the remainder; the block's own lines go.  The block begins at
+    the first line that begins no entry among the thirty after the run, and ends before the next entry or page head.
+    A run with more numbers than the block has lines stays.  A document's contents are small; each is one group.
     """
     import re
 
     import pandas as pd
 
-    bare, numbered = re.compile(r"^\d+(?:\.\d+)*\.?$"), re.compile(r"^\s*\d+(?:\.\d+)*\.?\s+\S")
+    bare, entry, part, head = (re.compile(x) for x in (BARE_NUMBER, ENTRY, PART, PAGE_HEAD))
+
+    def opens(line: str) -> bool:
+        return bool(entry.match(line) or part.match(re.sub(r"[.…]{2,}", "  ", line)))
 
     def repair(doc: pd.DataFrame) -> pd.DataFrame:
-        rows = doc.sort_values("line_no")["line"].tolist()
-        out, i = [], 0
-        while i < len(rows):
-            numbers, at, last = [], i, i
-            while at < len(rows) and at - last <= 3 and not numbered.match(rows[at]):
-                if bare.match(rows[at].strip()):
-                    numbers.append(rows[at].strip())
-                    last = at
-                elif numbers:
-                    break
-                at += 1
-            if len(numbers) < 2:
-                out.append(rows[i])
-                i += 1
+        doc = doc.sort_values("line_no", ignore_index=True)
+        line, place = doc["line"].tolist(), doc["line_no"]
+        numbers = doc.index[[bool(bare.match(x)) for x in line]].to_series()
+        run = (place[numbers].diff() > 3).cumsum()
+        gone: set[int] = set()
+        for _, own in numbers.groupby(run.to_numpy()):
+            after = [i for i in range(own.iloc[-1] + 1, len(line)) if not opens(line[i])]
+            if len(own) < 2 or not after or place[after[0]] > place[own.iloc[-1]] + 30:
                 continue
-            block = []
-            while at < len(rows) and not numbered.match(rows[at]) and not bare.match(rows[at].strip()):
-                block.append(rows[at].strip())
-                at += 1
-            out += rows[i : next(k for k in range(i, len(rows)) if bare.match(rows[k].strip()))]
-            share = len(block) // len(numbers)
-            for k, number in enumerate(numbers):
-                mine = block[k * share : (k + 1) * share] if k + 1 < len(numbers) else block[k * share :]
-                out.append(" ".join([number, *mine]))
-            i = at
-        return pd.DataFrame({"doc_id": [doc["doc_id"].iloc[0]] * len(out), "line_no": range(len(out)), "line": out})
-
-    kind = dict(lines.dtypes)["doc_id"]
-    return lines.groupBy("doc_id").applyInPandas(repair, f"doc_id {kind}, line_no int, line string")
+            stop = next((i for i in range(after[0], len(line)) if opens(line[i]) or head.search(line[i])), len(line))
+            block = range(after[0], stop)
+            share = len(block) // len(own)
+            for k, i in enumerate(own if share else []):
+                mine = block[k * share :] if k == len(own) - 1 else block[k * share : (k + 1) * share]
+                line[i] = " ".join([line[i], *(doc["line"][j] for j in mine)])
+                gone.update(mine)
+        return doc.assign(line=line).drop(index=list(gone))
+
+    kinds = dict(lines.dtypes)
+    return lines.select("doc_id", "line_no", "line").groupBy("doc_id").applyInPandas(repair, f"doc_id {kinds['doc_id']}, line_no {kinds['line_no']}, line string")

@@ -13,10 +13,11 @@ def page_text(t: Tables) -> DataFrame:
     return pages.page_text(t.conversations.select("conv_id", F.col("turn").alias("page_no"), "text"), ["conv_id"], True)
 
 
-@query("wanted_pages", "select o_custkey as unit_id, conv_id, turn as page_no from conversations join (select distinct o_custkey from orders where o_custkey % 50 = 0) on turn in (1, 2 + o_custkey % 3)")
+@query("wanted_pages", "select conv_id as unit_id, turn as page_no, md5(text) as page from conversations where turn in (1, 2 + conv_id % 3)")
 def wanted_pages(t: Tables) -> DataFrame:
-    units = t.orders.select(F.col("o_custkey").alias("unit_id")).distinct().withColumn("pages", F.array(F.lit(1).cast("long"), 2 + F.col("unit_id") % 3))
-    return pages.wanted(t.conversations.select("conv_id", F.col("turn").alias("page_no")), units).select("unit_id", "conv_id", "page_no")
+    """Two pages of every conversation, whose turns are the pages."""
+    units = t.conversations.select("conv_id", F.col("conv_id").alias("unit_id")).distinct().withColumn("pages", F.array(F.lit(1).cast("long"), 2 + F.col("unit_id") % 3))
+    return pages.wanted(t.conversations.select("conv_id", F.col("turn").alias("page_no"), F.md5("text").alias("page")), units, ["conv_id"]).select("unit_id", "page_no", "page")
 
 
 @query("table_rules", "with e as (select l_orderkey as doc_id, count_if(l_linenumber % 2 = 1 and l_quantity > 0.1 * 100) >= 2 as ruled from lineitem where l_orderkey % 3 > 0 group by 1) select o_orderkey as doc_id, coalesce(ruled, true) as ruled from orders left join e on doc_id = o_orderkey")

@@ -47,7 +47,7 @@ def top_types(t: Tables) -> DataFrame:
 
 @query(
     "sweep_traffic_light",
-    "with n as (select s_suppkey, count(case when l_returnflag = 'R' and l_discount > 0.05 then 1 end) as issues from supplier left join lineitem on l_suppkey = s_suppkey and l_orderkey % 20 = 0 group by 1) select s_suppkey, issues, case when issues > 10 then 'red' when issues >= 1 then 'yellow' else 'green' end as grade from n",
+    "with n as (select s_suppkey, count(case when l_returnflag = 'R' and l_discount > 0.05 then 1 end) as issues from supplier left join lineitem on l_suppkey = s_suppkey group by 1) select s_suppkey, issues, case when issues > 10 then 'red' when issues >= 1 then 'yellow' else 'green' end as grade from n",
 )
 def sweep_traffic_light(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), ((F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.05)).alias("bad"))
@@ -75,9 +75,9 @@ def order_points(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_orderstatus").alias("slide"), F.col("o_orderpriority").alias("series"), F.year("o_orderdate").cast("string").alias("period"), F.col("o_orderkey").alias("order"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("value"))
 
 
-PIVOT_SQL = """with f as (select distinct on (slide, series, period) * from (select o_orderstatus as slide, o_orderpriority as series, year(o_orderdate) as period, o_orderkey as o, o_totalprice::decimal(18,2)::varchar as v from orders) order by slide, series, period, o),
+PIVOT_SQL = f"""with f as (select distinct on (slide, series, period) * from (select o_orderstatus as slide, o_orderpriority as series, year(o_orderdate) as period, o_orderkey as o, o_totalprice::decimal(18,2)::varchar as v from orders) order by slide, series, period, o),
 s as (select o_orderstatus as slide, o_orderpriority as series, row_number() over (partition by o_orderstatus order by min(o_orderkey), o_orderpriority) as n from orders group by 1, 2)
-select slide, series, n::int as n, max(case when period = 1995 then v end) as "1995", max(case when period = 1996 then v end) as "1996", max(case when period = 1997 then v end) as "1997" from s left join f using (slide, series) group by slide, series, n"""
+select slide, series, n::int as n, {", ".join(f'max(case when period = {y} then v end) as "{y}"' for y in range(1995, 2002))} from s left join f using (slide, series) group by slide, series, n"""
 
 
 @query("pivot_periods", PIVOT_SQL)
@@ -108,7 +108,7 @@ def slide_route(t: Tables) -> DataFrame:
     """System turns stand for slides without content, every third conversation has a chart."""
     types = F.transform(F.collect_set("role"), lambda r: F.when(r == "system", "none").otherwise(r))
     rows = t.conversations.groupBy("conv_id").agg(types.alias("types"))
-    rows = rows.withColumn("types", F.when(F.col("conv_id") % 3 == 0, F.array_append("types", F.lit("donut"))).otherwise(F.col("types")))
+    rows = rows.withColumn("types", F.when(F.col("conv_id") % 3 == 0, F.array_append("types", F.lit("donut_dual_ring"))).otherwise(F.col("types")))
     return rows.select("conv_id", points.route(F.col("types")).alias("route"))
 
 

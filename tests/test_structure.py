@@ -130,7 +130,7 @@ def test_first_json_value_is_salvaged(spark):
 def test_blocks_are_flattened_with_their_heading(spark):
     raw = '{"document":{"documentLayout":{"blocks":[{"textBlock":{"type":"heading-1","text":"H","blocks":[{"tableBlock":{"headerRows":[{"cells":[{"blocks":[{"textBlock":{"text":"a"}}]}]}],"bodyRows":[{"cells":[{"blocks":[{"textBlock":{"text":"b"}}]}]}]},"pageSpan":{"pageStart":4}}]}}]}}}'
     got = [tuple(r) for r in grids.flatten_blocks(spark.createDataFrame([("d", raw)], "doc_id string, raw string")).collect()]
-    assert got == [("d", 0, "H", 4, 0, ["a"]), ("d", 0, "H", 4, 1, ["b"])]
+    assert got == [("d", 0, "H", 4, 0, True, [("a", 1, 1)]), ("d", 0, "H", 4, 1, False, [("b", 1, 1)])]
 
 
 def test_scalars(spark):

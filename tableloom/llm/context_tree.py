@@ -185,12 +185,12 @@ def pieces(column: pa.Array, depth: int) -> Iterator[tuple[int, int, np.ndarray,
         if hi - lo > 1 or len(data) <= CHUNK:
             yield lo, hi, data, at, None, True
             continue
-        solid = np.flatnonzero(~ws.SPACE[data])
+        solid = np.flatnonzero(ws.solid(data))
         end, begin, context = int(solid[-1]) + 1 if len(solid) else 0, 0, None
         while True:
             cut = end
             if end - begin > CHUNK:
-                gap = np.flatnonzero(ws.SPACE[data[begin + CHUNK : end]])
+                gap = np.flatnonzero(~ws.solid(data[begin + CHUNK : end]))
                 cut = begin + CHUNK + int(gap[0]) + 1 if len(gap) else end
             part = data[begin:cut]
             yield lo, hi, part, np.array([0, len(part)]), context, cut == end
@@ -221,7 +221,7 @@ class Stream:
         step = np.zeros(len(out) + 1, np.int8)
         step[into] += 1
         step[into + size - 1] -= 1
-        out[np.cumsum(step[:-1], dtype=np.int8).astype(bool)] = ws.LOWER[data[~ws.SPACE[data]]] if len(data) else 10
+        out[np.cumsum(step[:-1], dtype=np.int8).astype(bool)] = ws.LOWER[data[ws.solid(data)]] if len(data) else 10
         out[into + size - 1] = 32
         if ends and len(start):
             last = first[1:][self.n_words > 0] - 1
@@ -365,7 +365,7 @@ def byte_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, data, _ in ws.chunks(batch.column(0), CHUNK):
             for i in range(0, len(data), CHUNK):
                 one = data[i : i + CHUNK]
-                one = np.where(ws.SPACE[one], 32, ws.LOWER[one])
+                one = np.where(ws.solid(one), ws.LOWER[one], 32)
                 total += np.bincount(one[1:].astype(np.int64) << 8 | one[:-1], minlength=1 << 16)
         ws.trim()
     some = np.flatnonzero(total)

@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from tableloom.llm import wordscan as ws
-from tableloom.llm.linking import sized
+from tableloom.llm.linking import sized, unused
 from tableloom.scratch import Scratch
 
 U = np.uint64
@@ -39,8 +39,10 @@ BITS = 22
 SLICES = 32  # of the bucket table, summed apart
 LINE = "doc_id long, line_no int"
 DEALT = "part long, words array<long>, docs array<long>, numbers array<int>, sizes array<int>, places array<int>, s0 array<long>, s1 array<long>, asks array<byte>"
+DEALT_BYTES = 3 << 20  # of text dealt together
 PART_BYTES = 8 << 20  # of text whose words one part takes, about
-LEAD, LEADERS = 2048, 16  # lines of a word from which on leading lines are compared first, and how many
+LEAD, LEADERS = 256, 16  # lines of a word from which on leading lines are compared first, and how many
+SLICE = 1 << 17  # lines paired together
 BEST = 2  # candidates of a line that a part names in the first pass
 
 
@@ -54,41 +56,64 @@ class Similar:
 EVERY_LINE = Similar(min_words=1)  # all lines but those without words
 
 
+def shown(size: np.ndarray, s: Similar) -> np.ndarray:
+    """Of so many of its rarest words a line shares one with every line that it matches."""
+    return size - -(-size * s.num // s.den) + 1
+
+
 def bucket_of(h: np.ndarray) -> np.ndarray:
     return (h & U((1 << BITS) - 1)).astype(np.int64)
 
 
-def prefix_bucket(word: np.ndarray) -> np.ndarray:
-    """The bucket of a word's code, among as many, by other bits of its hash."""
-    return (word & U((1 << BITS) - 1)).astype(np.int64)
+def marks(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two buckets of a word's code, among as many, by different bits of its hash."""
+    return (word & U((1 << BITS) - 1)).astype(np.int64), (word >> U(BITS) & U((1 << BITS) - 1)).astype(np.int64)
 
 
-def rarities(docs: DataFrame) -> np.ndarray:
-    """A byte per hash bucket: eight times the binary logarithm of its words' occurrences in all texts, 0 for one."""
+def marked(word: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether both buckets of words are in a table of flags, bit 1 and bit 2."""
+    first, second = marks(word)
+    out = (table[first] & 1) > 0
+    at = np.flatnonzero(out)
+    out[at] = (table[second[at]] & 2) > 0
+    return out
+
+
+def rarities(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """A byte per hash bucket: eight times the binary logarithm of its words' occurrences in all texts, 0 for one; and the texts' bytes."""
     width = (1 << BITS) // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int32)
+        total, size = np.zeros(1 << BITS, np.int32), 0
         for batch in batches:
             for _, _, data, at in ws.chunks(batch.column(0)):
-                got, n = np.unique(bucket_of(ws.hashes(data, *ws.words(data, at))), return_counts=True)
-                total[got] += n.astype(np.int32)
+                size += len(data)
+                bucket = np.sort(bucket_of(ws.hashes(data, *ws.words(data, at))).astype(np.uint32))
+                first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+                total[bucket[first]] += np.diff(np.r_[first, len(bucket)]).astype(np.int32)
+            ws.trim()
         full = np.flatnonzero(total)
         ends = np.searchsorted(full, np.arange(SLICES + 1) * width).astype(np.int32)
         column = lambda x: pa.ListArray.from_arrays(pa.array(ends), pa.array(x, pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), column(full), column(total[full])], ["slice", "buckets", "n"])
+        sizes = np.where(np.arange(SLICES) == 0, size, 0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), column(full), column(total[full]), pa.array(sizes)], ["slice", "buckets", "n", "bytes"])
 
     def add(table: pa.Table) -> pa.Table:
         k, total = table["slice"][0].as_py(), np.zeros(width, np.int64)
         for buckets, n in zip(table["buckets"], table["n"], strict=True):
             total[buckets.values.to_numpy() - k * width] += n.values.to_numpy()
-        return pa.table({"slice": pa.array([k], pa.int32()), "logs": pa.array([np.minimum(255, np.rint(8 * np.log2(np.maximum(total, 1)))).astype(np.uint8).tobytes()])})
+        return pa.table({"slice": pa.array([k], pa.int32()), "logs": pa.array([np.minimum(255, np.rint(8 * np.log2(np.maximum(total, 1)))).astype(np.uint8).tobytes()]), "bytes": pa.array([sum(table["bytes"].to_pylist())], pa.int64())})
 
-    out = np.zeros(1 << BITS, np.uint8)
-    counts = docs.select("text").mapInArrow(count, "slice int, buckets array<int>, n array<int>")
-    for row in counts.groupBy("slice").applyInArrow(add, "slice int, logs binary").toArrow().to_pylist():
+    out, size = np.zeros(1 << BITS, np.uint8), 0
+    counts = docs.select("text").mapInArrow(count, "slice int, buckets array<int>, n array<int>, bytes long")
+    for row in counts.groupBy("slice").applyInArrow(add, "slice int, logs binary, bytes long").toArrow().to_pylist():
         out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["logs"], np.uint8)
-    return out
+        size += row["bytes"]
+    return out, size
+
+
+def word_codes(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return (rank[bucket_of(h)].astype(U) << U(56)) | (h >> U(8))
 
 
 def split_lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,14 +139,15 @@ def by_line(line: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
 class Lines:
     """The distinct word codes of the lines of some texts, rarest first in each line."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, rank: np.ndarray):
-        starts, first = split_lines(data, at)
+    def __init__(self, data: np.ndarray, at: np.ndarray, rank: np.ndarray, whole: bool = False):
+        """whole: each text is one line."""
+        starts, first = (at[:-1], np.arange(len(at))) if whole else split_lines(data, at)
         self.n = len(starts)
         self.doc = np.repeat(np.arange(len(at) - 1), np.diff(first))
         self.line_no = np.arange(self.n) - first[self.doc]
         begin, end = ws.words(data, at)
         h = ws.hashes(data, begin, end)
-        code = (rank[bucket_of(h)].astype(U) << U(56)) | (ws.mix(h) >> U(8))
+        code = word_codes(h, rank)
         line = self._line_of(begin, starts)
         order = by_line(line, code, self.n)
         code, line = code[order], line[order]
@@ -133,14 +159,18 @@ class Lines:
     def _line_of(self, begin: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.searchsorted(starts, begin, "right") - 1
 
-    def total(self, values: np.ndarray) -> np.ndarray:
-        """Sums, modulo 2^64, of values of words by line."""
-        run = np.r_[U(0), np.cumsum(values, dtype=U)]
-        return run[self.first[1:]] - run[self.first[:-1]]
+    def totals(self) -> list[np.ndarray]:
+        """Two sums, modulo 2^64, of mixed words by line."""
+        self.mixed = ws.mix(self.code)
+        out = []
+        for values in (self.mixed, (self.mixed ^ (self.mixed >> U(29))) * U(0x9FB21C651E98DF25)):
+            run = np.r_[U(0), np.cumsum(values, dtype=U)]
+            out.append(run[self.first[1:]] - run[self.first[:-1]])
+        return out
 
     def sketch(self) -> list[np.ndarray]:
         """The parity of the words that fall on each of 128 bits, in two halves."""
-        bit = ws.mix(self.code ^ U(0x77)) & U(127)
+        bit = self.mixed >> U(20) & U(127)
         out = []
         for half in (0, 1):
             run = np.r_[U(0), np.bitwise_xor.accumulate(np.where(bit >> U(6) == half, U(1) << (bit & U(63)), U(0)))] if len(bit) else np.zeros(1, U)
@@ -148,6 +178,21 @@ class Lines:
         return out
 
 
+def lines_with(column: pa.Array, buckets: np.ndarray, rank: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets, row from the first on, line number) of the lines that have a word of these buckets."""
+    for lo, hi, data, at in ws.chunks(column):
+        starts, first = split_lines(data, at)
+        begin, end = ws.words(data, at)
+        hit = marked(word_codes(ws.hashes(data, begin, end), rank), buckets)
+        line = np.unique(np.searchsorted(starts, begin[hit], "right") - 1)
+        if len(line):
+            doc = np.searchsorted(first, line, "right") - 1
+            stop = np.where(line + 1 < first[doc + 1], np.r_[starts, 0][line + 1] - 1, at[doc + 1])
+            offsets = np.r_[0, np.cumsum(stop - starts[line])]
+            place = np.repeat(starts[line] - offsets[:-1], stop - starts[line]) + np.arange(offsets[-1])
+            yield lo, hi, data[place], offsets, doc, line - first[doc]
+
+
 def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int, only: Broadcast | None = None) -> DataFrame:
     """docs (doc_id, text, wanted array<int>) as arrays of line places by part of their rarest words.
 
@@ -158,19 +203,23 @@ def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int, only: Broadca
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for lo, hi, data, at in ws.chunks(batch.column(1)):
-                x = Lines(data, at, rank.value)
+            runs = ws.chunks(batch.column(1), DEALT_BYTES) if only is None else lines_with(batch.column(1), only.value, rank.value)
+            for lo, hi, data, at, *line in runs:
+                x = Lines(data, at, rank.value, whole=only is not None)
+                if only is not None:
+                    x.doc, x.line_no = line
                 keep = np.flatnonzero(x.size >= s.min_words)
                 if not len(keep):
                     continue
                 doc, number, size = ids[lo:hi][x.doc[keep]], x.line_no[keep], x.size[keep]
+                a, b = x.totals()
                 part = batch.column(2).slice(lo, hi - lo)
-                if part.null_count < len(part):  # a second pass
+                if only is not None:  # a second pass
                     asked = {(d, i) for d, own in zip(ids[lo:hi].tolist(), part.to_pylist(), strict=True) for i in own or ()}
                     asks = np.fromiter(((d, i) in asked for d, i in zip(doc.tolist(), number.tolist(), strict=True)), bool, len(doc))
                     first, copy = np.ones(len(doc), bool), np.zeros(len(doc), bool)
                 else:
-                    a, b = x.total(ws.mix(x.code))[keep], x.total(ws.mix(x.code ^ U(0xA5A5A5A5A5A5A5A5)))[keep]
+                    a, b = a[keep], b[keep]
                     order = np.lexsort((number, doc, b, a))
                     new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
                     head = np.empty(len(keep), np.int64)
@@ -178,15 +227,15 @@ def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int, only: Broadca
                     first = head == np.arange(len(keep))
                     copy = ~first & ~((doc == doc[head]) & (number == number[head]))
                     asks = first
-                many = np.where(first, size - -(-size * s.num // s.den) + 1, 0)
+                many = np.where(first, shown(size, s), 0)
                 ends = np.r_[0, np.cumsum(many)]
                 owner = np.repeat(np.arange(len(keep)), many)
                 pos = np.arange(ends[-1]) - ends[:-1][owner]
                 word = x.code[x.first[keep][owner] + pos]
-                again = word >> U(56) > 0 if only is None else only.value[prefix_bucket(word)]
+                again = word >> U(56) > 0 if only is None else marked(word, only.value)
                 owner, pos, word = owner[again], pos[again], word[again]
                 to = (ws.mix(word) % U(parts)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
+                order = np.argsort(to << 32 | np.arange(len(to)))
                 owner, pos, word, to = owner[order], pos[order], word[order], to[order]
                 gone = np.flatnonzero(copy)
                 bounds = np.searchsorted(to, np.arange(parts + 1)) + len(gone)
@@ -196,16 +245,24 @@ def deal(docs: DataFrame, rank: Broadcast, s: Similar, parts: int, only: Broadca
                 name = np.r_[none - 1, to][cut[:-1]]
                 column = lambda y, kind: pa.ListArray.from_arrays(pa.array(cut), pa.array(y, kind))
                 yield pa.RecordBatch.from_arrays([pa.array(name), column(ws.signed(np.r_[none.astype(U), word]), pa.int64()), column(doc[rows], pa.int64()), column(number[rows].astype(np.int32), pa.int32()), column(size[rows].astype(np.int32), pa.int32()), column(np.r_[none, pos].astype(np.int32), pa.int32()), *(column(ws.signed(y[keep][rows]), pa.int64()) for y in x.sketch()), column(asks[rows].astype(np.int8), pa.int8())], [f.split()[0] for f in DEALT.split(", ")])
+            ws.trim()
 
     return docs.filter("doc_id is not null").mapInArrow(run, DEALT)
 
 
+def by_group(word: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The order by word and size (of less than 2^31 each)."""
+    order = np.argsort(word)
+    group = np.cumsum(np.r_[False, word[order][1:] != word[order][:-1]]) if len(word) else order
+    return order[np.argsort(group << 32 | size[order])]
+
+
 class Meeting:
-    """The lines of some words, sorted by word and place, and which pairs of them may match."""
+    """The lines of some words, sorted by word and size, and which pairs of them may match."""
 
     def __init__(self, columns: list[np.ndarray], s: Similar):
         word, doc, number, size, pos, s0, s1, asks = columns
-        order = np.lexsort((number, doc, word))
+        order = by_group(word, size)
         self.s, self.word, self.doc, self.number = s, word[order], doc[order], number[order]
         self.size, self.rest = size[order].astype(np.int64), (size - pos)[order].astype(np.int64)
         self.s0, self.s1, self.asks = s0.view(U)[order], s1.view(U)[order], asks[order] > 0
@@ -223,36 +280,46 @@ class Meeting:
         ok = (apart <= (a + b - 2 * shared)[ok]) & ((self.doc[u] != self.doc[v]) | (self.number[u] != self.number[v]))
         return u[ok], v[ok], apart[ok]
 
+    def later(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        return (self.doc[u] > self.doc[v]) | ((self.doc[u] == self.doc[v]) & (self.number[u] > self.number[v]))
+
+    def lead(self, begin: int, end: int, asks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+        """Meets a frequent word's lines with leading ones, each the earliest line that passes with none before it; those that pass ask no more."""
+        rest = begin + np.lexsort((self.number[begin:end], self.doc[begin:end]))
+        for _ in range(LEADERS):
+            lead, rest = rest[0], rest[1:]
+            found = self.close(np.full(len(rest), lead), rest)
+            keep = asks[found[1]]
+            yield (*(x[keep] for x in found), True)
+            gone = np.zeros(end - begin, bool)
+            gone[found[1] - begin] = True
+            asks[found[1]] = False
+            rest = rest[~gone[rest - begin]]
+            if not len(rest):
+                break
+
     def pairs(self, lead_from: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
         """Pairs that pass, u earlier, and whether that is all that v was compared with.
 
         A word of more than lead_from lines is met by leading lines first: a line that passes with one waits for the
-        exact comparison; all others meet every line before them.
+        exact comparison; all others meet every line before them.  Only lines of sizes that can match are paired: a
+        line is tested against the larger ones next to it, until one is too large.
         """
-        count = self.end - self.begin
-        small = count <= lead_from
-        last = np.repeat(np.where(small, self.end, self.begin), count)  # of each line's word
-        active, step = np.arange(len(last)), 1
-        while len(active):
-            active = active[active + step < last[active]]
-            for i in range(0, len(active), 1 << 20):
-                u = active[i : i + (1 << 20)]
-                u = u[self.asks[u + step]]
-                yield (*self.close(u, u + step), False)
-            step += 1
-        for begin, end in zip(self.begin[~small], self.end[~small], strict=True):
-            rest = np.arange(begin + 1, end)
-            rest, lead = rest[self.asks[rest]], begin
-            for _ in range(LEADERS):
-                found = self.close(np.full(len(rest), lead), rest)
-                yield (*found, True)
-                rest = np.setdiff1d(rest, found[1], assume_unique=True)
-                if not len(rest):
-                    break
-                lead, rest = rest[0], rest[1:]
-                yield (*self.close(np.arange(begin, lead), np.full(lead - begin, lead)), False)
-            for v in rest:
-                yield (*self.close(np.arange(begin, v), np.full(v - begin, v)), False)
+        num, den, asks = self.s.num, self.s.den, self.asks.copy()
+        for k in np.flatnonzero(self.end - self.begin > lead_from):
+            yield from self.lead(int(self.begin[k]), int(self.end[k]), asks)
+        last = np.repeat(self.end, self.end - self.begin)  # of each line's word
+        for i in range(0, len(last), SLICE):
+            active, step = np.arange(i, min(i + SLICE, len(last))), 1
+            while len(active):
+                active = active[active + step < last[active]]
+                active = active[self.size[active] * den >= self.size[active + step] * num]
+                swap = self.later(active, active + step)
+                u, v = np.where(swap, active + step, active), np.where(swap, active, active + step)
+                asked = asks[v]
+                if asked.any():
+                    yield (*self.close(u[asked], v[asked]), False)
+                step += 1
 
 
 def meet(s: Similar, best: int | None) -> Callable[[pa.Table], pa.Table]:
@@ -266,8 +333,9 @@ def meet(s: Similar, best: int | None) -> Callable[[pa.Table], pa.Table]:
         x = Meeting(columns, s)
         found = [(u, v, apart, np.full(len(u), partly)) for u, v, apart, partly in x.pairs(LEAD if best else len(columns[0])) if len(u)]
         u, v, apart, partly = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
-        place = np.unique(np.stack([x.doc[v], x.number[v].astype(np.int64)], 1), axis=0, return_inverse=True)[1].reshape(-1) if len(v) else v
-        order = np.lexsort((u, apart, place))
+        place = np.unique(x.doc, return_inverse=True)[1][v] << 32 | x.number[v].astype(np.int64)
+        line = np.unique(place, return_inverse=True)[1]
+        order = np.argsort(line << 40 | apart.astype(np.int64) << 32 | u)  # fewer than 2^23 lines and 2^32 places
         u, v, place, partly = u[order], v[order], place[order], partly[order].astype(bool)
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(v) else v
         count = np.diff(np.r_[first, len(v)])
@@ -275,41 +343,62 @@ def meet(s: Similar, best: int | None) -> Callable[[pa.Table], pa.Table]:
         more = np.repeat((count > (best or len(v))) | (np.logical_or.reduceat(partly, first) if len(v) else partly), count)
         take = nth < (best or len(v))
         u, v, more = u[take], v[take], more[take]
-        return pa.table({"u_doc": x.doc[u], "u_line": x.number[u], "v_doc": x.doc[v], "v_line": x.number[v], "more": more})
+        out = pa.table({"u_doc": x.doc[u], "u_line": x.number[u], "v_doc": x.doc[v], "v_line": x.number[v], "more": more})
+        del x, found
+        ws.trim()
+        return out
 
     return run
 
 
+def wanted_lines(column: pa.Array, wanted: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, line number, bytes, offsets) of the lines of texts that each row's list of numbers asks for, and has."""
+    for lo, hi, data, at in ws.chunks(column):
+        starts, first = split_lines(data, at)
+        part = wanted.slice(lo, hi - lo)
+        owner = np.repeat(np.arange(hi - lo), part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        number = part.flatten().to_numpy(zero_copy_only=False)
+        there = first[owner] + number < first[owner + 1]  # a repeated doc_id may have fewer lines
+        owner, number = owner[there], number[there]
+        if not len(owner):
+            continue
+        line = first[owner] + number
+        begin = starts[line]
+        end = np.where(line + 1 < first[owner + 1], np.r_[starts, 0][line + 1] - 1, at[owner + 1])
+        offsets = np.r_[0, np.cumsum(end - begin)]
+        place = np.repeat(begin - offsets[:-1], end - begin) + np.arange(offsets[-1])
+        yield owner + lo, number, data[place], offsets
+
+
 def line_sets(docs: DataFrame, rank: Broadcast) -> DataFrame:
     """The word codes of the lines that docs (doc_id, text, wanted array<int>) asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(2)
-            for lo, hi, data, at in ws.chunks(batch.column(1)):
-                x = Lines(data, at, rank.value)
-                first = np.searchsorted(x.doc, np.arange(hi - lo))
-                part = wanted.slice(lo, hi - lo)
-                owner = np.repeat(np.arange(hi - lo), part.value_lengths().to_numpy(zero_copy_only=False))
-                number = part.flatten().to_numpy(zero_copy_only=False)
-                there = first[owner] + number < np.r_[first[1:], x.n][owner]  # a repeated doc_id may have fewer lines
-                owner, number = owner[there], number[there]
-                rows = first[owner] + number
-                parts = [x.code[x.first[r] : x.first[r + 1]] for r in rows]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner + lo)), pa.array(number.astype(np.int32)), ws.lists(parts)], ["doc_id", "line_no", "codes"])
+            for row, number, data, at in wanted_lines(batch.column(1), batch.column(2)):
+                x = Lines(data, at, rank.value, whole=True)
+                codes = pa.ListArray.from_arrays(pa.array(x.first.astype(np.int32)), pa.array(ws.signed(x.code)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), codes], ["doc_id", "line_no", "codes"])
+            ws.trim()
 
     return docs.select("doc_id", "text", "wanted").mapInArrow(run, f"{LINE}, codes array<long>")
 
 
-def buckets_of_lines(docs: DataFrame, rank: Broadcast) -> np.ndarray:
-    """Which buckets have a word of the lines that docs (doc_id, text, wanted) asks for; the driver gets 4 MB."""
+def buckets_of_lines(docs: DataFrame, rank: Broadcast, s: Similar) -> np.ndarray:
+    """Which buckets have one of the rarest words of the lines that docs (doc_id, text, wanted) asks for; the driver gets 8 million numbers at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(prefix_bucket(batch.column(0).flatten().to_numpy().view(U))).astype(np.int32))], ["bucket"])
+            ends = batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            place = np.arange(ends.sum()) - np.repeat(np.cumsum(ends) - ends, ends)
+            rare = place < np.repeat(shown(ends, s), ends)
+            word = batch.column(0).flatten().to_numpy().view(U)[rare]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([k << BITS | x for k, x in enumerate(marks(word))])).astype(np.int32))], ["bucket"])
 
-    out = np.zeros(1 << BITS, bool)
-    out[line_sets(docs, rank).select("codes").mapInArrow(run, "bucket int").distinct().toArrow()["bucket"].to_numpy()] = True
+    out = np.zeros(1 << BITS, np.uint8)
+    found = line_sets(docs, rank).select("codes").mapInArrow(run, "bucket int").distinct().toArrow()["bucket"].to_numpy()  # 2^23 numbers at most
+    out[found[found < 1 << BITS]] |= 1
+    out[found[found >= 1 << BITS] & ((1 << BITS) - 1)] |= 2
     return out
 
 
@@ -323,52 +412,68 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rank = spark.sparkContext.broadcast(rarities(docs))
-    parts = max(4, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
+    logs, size = rarities(docs)
+    rank, parts = spark.sparkContext.broadcast(logs), max(4, -(-size // PART_BYTES))
     fields = "u_doc long, u_line int, v_doc long, v_line int, more boolean"
-    place = lambda k: F.struct(F.col(f"{k}_doc").alias("doc_id"), F.col(f"{k}_line").alias("line_no")).alias(k)
+    u, v, ends = ["u_doc", "u_line"], ["v_doc", "v_line"], ["doc_id", "line_no"]
 
     def candidates(docs: DataFrame, best: int | None, name: str, only: Broadcast | None = None) -> DataFrame:
-        met = deal(docs, rank, s, parts, only).groupBy("part").applyInArrow(meet(s, best), fields)
-        return scratch.save(met.select(place("u"), place("v"), "more"), name)
+        return scratch.save(deal(docs, rank, s, parts, only).groupBy("part").applyInArrow(meet(s, best), fields), name)
+
+    def asked(lines: DataFrame) -> DataFrame:
+        """Lines (doc_id, line_no) as lists by document, to be broadcast if they are few."""
+        return lines.groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
+
+    def joined(lists: DataFrame) -> DataFrame:
+        """The lists, to be broadcast if they are known to be small."""
+        return sized(lists, rows=lists.agg(F.count("*") * 2 + F.sum(F.size("wanted"))).first()[0])
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         """The later lines of the pairs (u, v), u earlier, whose whole sets match."""
-        pairs = scratch.save(pairs.select("u", "v").distinct(), f"pairs-{name}")
-        ends = pairs.select(F.explode(F.array("u", "v")).alias("at")).select("at.doc_id", "at.line_no").distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
-        ends = scratch.save(ends, f"ends-{name}")
-        sets = scratch.save(line_sets(docs.join(sized(ends), "doc_id"), rank).select(F.struct("doc_id", "line_no").alias("at"), "codes"), f"sets-{name}")
-        side = lambda k: sets.select(F.col("at").alias(k), F.col("codes").alias(f"e{k}"))
+        pairs = scratch.save(pairs.select(*u, *v).distinct(), f"pairs-{name}")
+        lines = pairs.select(*(F.col(a).alias(b) for a, b in zip(u, ends, strict=True))).unionAll(pairs.select(*(F.col(a).alias(b) for a, b in zip(v, ends, strict=True)))).distinct()
+        lists = scratch.save(asked(lines), f"ends-{name}")
+        sets = scratch.save(line_sets(docs.join(joined(lists), "doc_id"), rank), f"sets-{name}")
+        side = lambda k, names: sets.select(*(F.col(a).alias(b) for a, b in zip(ends, names, strict=True)), F.col("codes").alias(k))
         common = F.size(F.array_intersect("eu", "ev"))
-        found = pairs.join(side("v"), "v").join(side("u"), "u").filter(common * s.den >= (F.size("eu") + F.size("ev") - common) * s.num)
-        return scratch.save(found.select("v").distinct(), f"found-{name}")
+        found = pairs.join(side("ev", v), v).join(side("eu", u), u).filter(common * s.den >= (F.size("eu") + F.size("ev") - common) * s.num)
+        found = scratch.save(found.select(*v).distinct(), f"found-{name}")
+        scratch.drop(f"sets-{name}", f"ends-{name}", f"pairs-{name}")
+        return found
 
     met = candidates(docs.withColumn("wanted", F.lit(None).cast("array<int>")), BEST, "met")
     scratch.release()
-    settled = "u.doc_id is null"
-    gone = met.filter(settled).select("v").unionByName(verify(met.filter(f"not ({settled})"), "best"))
+    settled = "u_doc is null"
+    gone = met.filter(settled).select(*v).unionByName(verify(met.filter(f"not ({settled})"), "best"))
     # Lines with more candidates than the best ones, none of which matched, meet all of them.
-    again = met.filter("more").select("v").distinct()
-    again = scratch.save(again.join(gone.distinct(), "v", "left_anti").groupBy("v.doc_id").agg(F.collect_list("v.line_no").alias("wanted")), "again")
+    again = met.filter("more").select(*v).distinct().join(gone.distinct(), v, "left_anti")
+    again = scratch.save(asked(again.select(F.col("v_doc").alias("doc_id"), F.col("v_line").alias("line_no"))), "again")
     if not again.isEmpty():
         scratch.release()
-        only = spark.sparkContext.broadcast(buckets_of_lines(docs.join(sized(again), "doc_id"), rank))
-        asked = docs.join(sized(again), "doc_id", "left").select("doc_id", "text", F.coalesce("wanted", F.array().cast("array<int>")).alias("wanted"))
-        gone = gone.unionByName(verify(candidates(asked, None, "met-again", only), "again"))
-    return gone.select("v.doc_id", "v.line_no").distinct()
+        few = joined(again)
+        only = spark.sparkContext.broadcast(buckets_of_lines(docs.join(few, "doc_id"), rank, s))
+        wanted = docs.join(few, "doc_id", "left").select("doc_id", "text", F.coalesce("wanted", F.array().cast("array<int>")).alias("wanted"))
+        gone = gone.unionByName(verify(candidates(wanted, None, "met-again", only), "again"))
+    return gone.select(F.col("v_doc").alias("doc_id"), F.col("v_line").alias("line_no")).distinct()
 
 
 def dedup_lines(docs: DataFrame, s: Similar | None = None, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """docs without the lines of their text that match an earlier line; all rows, columns and their order stay.
 
-    Adds n_lines and n_removed, or what counts names; docs' own columns of those names go.  The kept lines keep their text and order; a text all of whose lines go is empty, a
-    null text stays null, a row without doc_id stays as it is.
+    Adds n_lines and n_removed, or what counts names; docs' own columns of those names go.  The kept lines keep their
+    text and order; a text all of whose lines go is empty, a null text stays null, a row without doc_id stays as it is.
     """
-    gone = later_matches(docs, s).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone")).withColumnsRenamed({"doc_id": "_gone_id", "gone": "_gone"})
-    lines = F.split("text", "\n", -1)
-    spared = F.filter(lines, lambda _, i: ~F.array_contains("_gone", i))
-    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone_id"], "left")
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    n_gone = F.when(F.col("_gone").isNull() | F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(spared)).cast("long")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(spared, "\n"))
+    free = unused([*docs.columns, *counts])
+    key, numbers = next(free), next(free)
+    scratch = Scratch(docs.sparkSession, "line-dedup-gone")
+    gone = later_matches(docs, s).groupBy("doc_id").agg(F.collect_set("line_no").alias(numbers)).withColumnRenamed("doc_id", key)
+    gone = scratch.save(gone, "gone")
+    gone = sized(gone, rows=gone.agg(F.count("*") * 2 + F.sum(F.size(numbers))).first()[0])
+    spared = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(numbers, i))
+    out = docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left")
+    own = docs["text"]  # by name it would be the new text
+    n_lines = F.when(own.isNull(), 0).otherwise(F.octet_length(own) - F.octet_length(F.replace(own, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    # All numbers are lines of the text but where texts share a doc_id.
+    n_gone = F.when(F.col(numbers).isNull() | own.isNull(), 0).when(F.array_max(numbers) < n_lines, F.size(numbers)).otherwise(F.size(F.filter(numbers, lambda i: i < n_lines))).cast("long")
+    text = F.when(F.col(numbers).isNull(), F.col("text")).otherwise(F.array_join(spared, "\n"))
     return out.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns if c not in counts), n_lines.alias(counts[0]), n_gone.alias(counts[1]))

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableloom.scratch import Scratch
 
 
-BROADCAST = 2_000_000  # rows of one or two longs that may go to every task: 32 MB
+BROADCAST = 2_000_000  # values of eight bytes that may go to every task: 16 MB, twice that as rows
 
 
-def sized(df: DataFrame, most: int = BROADCAST) -> DataFrame:
-    """df, to be broadcast if a count shows that it is small; a larger one is joined by a shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+def sized(df: DataFrame, rows: int | None = None, most: int = BROADCAST) -> DataFrame:
+    """df, to be broadcast if a count of its values (rows, if given, else one for each field) shows that it is small.
+
+    A larger one is joined by a shuffle.
+    """
+    return F.broadcast(df) if (df.count() * len(df.columns) if rows is None else rows or 0) <= most else df
+
+
+def unused(names: list[str]) -> Iterator[str]:
+    """Column names that none of these equals, whatever their case."""
+    taken = {n.lower() for n in names}
+    return (n for n in (f"_x{k}" for k in count()) if n not in taken)
 
 
 def _stars(edges: DataFrame, small: bool) -> DataFrame:

@@ -169,6 +169,27 @@ def test_lines_of_few_words_equal_all_pairs(spark):
     assert got == matches(docs, least=1) and got > matches(docs)
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e", 7, 8, 9), (2, "a b c d e\nx", 7, 8, 9)], "doc_id long, text string, _gone int, _x0 int, _gone_id int")
+    out = ld.dedup_lines(docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, "a b c d e", 7, 8, 9, 1, 0), (2, "x", 7, 8, 9, 2, 1)]
+
+
+def test_the_second_pass_finds_what_the_named_candidates_miss(spark, monkeypatch):
+    """With one candidate named, lines that it leaves unsettled meet all earlier ones again."""
+    r, docs = random.Random(11), []
+    base = [f"w{i}" for i in range(60)]
+    for d in range(70):
+        docs.append((d, " ".join(mutated(r, base, r.choice([3, 4, 4])))))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    again = []
+    monkeypatch.setattr(ld, "BEST", 1)
+    monkeypatch.setattr(ld, "buckets_of_lines", lambda *a, f=ld.buckets_of_lines: again.append(1) or f(*a))
+    assert {(x["doc_id"], x["line_no"]) for x in ld.later_matches(df).collect()} == matches(docs)
+    assert again
+
+
 def test_line_dedup_odd_rows(spark, odd_docs, no_docs):
     out = ld.dedup_lines(odd_docs)
     assert out.columns == [*odd_docs.columns, "n_lines", "n_removed"] and out.count() == odd_docs.count()

@@ -81,7 +81,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINES_SQL = f"""
 with l as (select doc_id, unnest(range(len(string_split(text, chr(10))))) as line_no, unnest(string_split(text, chr(10))) as text from documents where text is not null),
 t as (select distinct doc_id, line_no, unnest({WORDS}) as w from l),
-s as (select doc_id, line_no, count(*) as n from t group by all having count(*) >= 5),
+s as (select doc_id, line_no, count(*) as n from t group by all),
 f as (select w, count(*) as c from t group by 1),
 o as (select t.*, n, row_number() over (partition by doc_id, line_no order by c, w) as r from t join s using (doc_id, line_no) join f using (w)),
 p as (select * from o where r <= n - (4 * n + 4) // 5 + 1),

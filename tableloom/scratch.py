@@ -1,8 +1,8 @@
 """Tables that cut a lineage: written to the folder all executors share, and read again.
 
-The folder is ``spark.checkpoint.dir`` of the session.  Only where that is unset (tests, a laptop) a
-temporary folder of this process takes its place; on a cluster a machine-local folder would be invisible
-to the other executors.  A table that was written survives the loss of any executor.
+The folder is ``spark.checkpoint.dir`` of the session.  Where that is unset and Spark runs in one process (tests, a
+laptop) a temporary folder takes its place; on a cluster, where a machine-local folder would be invisible to the other
+executors, it is an error.  A table that was written survives the loss of any executor.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+HANDED_ON = 1.3  # seconds
 _own: dict[str, str] = {}
 
 
@@ -23,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: on a cluster, tables need a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="tableloom-")
@@ -47,8 +51,12 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(self.table(name))
 
     def release(self) -> None:
-        """Lets go of the shuffle files of finished queries, which the driver otherwise keeps until it happens to collect garbage."""
+        """Lets go of the shuffle files of finished queries, which the driver otherwise keeps until it happens to collect garbage.
+
+        The gateway hands dropped references on about once a second; before that the driver's JVM still holds them.
+        """
         gc.collect()
+        time.sleep(HANDED_ON)
         self.spark._jvm.System.gc()
 
     def drop(self, *names: str) -> None:

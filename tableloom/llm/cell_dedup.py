@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tableloom.llm import wordscan as ws
 from tableloom.llm.linking import components
 from tableloom.llm.vectors import dimension, matrix, usable
 from tableloom.scratch import Scratch
@@ -175,6 +176,7 @@ def near_duplicates(vectors: DataFrame, c: Cells | None = None) -> DataFrame:
         words = one["cells"].combine_chunks().flatten().to_numpy().view(U).reshape(len(ids), -1)
         links, parent = linked(table["cell"][0].as_py(), unit(matrix(one["embedding"])), row[is_left], row[~is_left], one["home"].to_numpy(), one["many"].to_numpy(), words, c.cosine)
         own = np.flatnonzero((links > 0) | (parent != np.arange(len(ids))))
+        ws.trim()
         return pa.table({"u": ids[own], "v": ids[parent[own]], "links": links[own]})
 
     found = scratch.save(dealt.groupBy("cell", "i", "j").applyInArrow(compare, "u long, v long, links long"), "found")

@@ -123,6 +123,7 @@ def describe(docs: DataFrame, j: Jaccard) -> DataFrame:
                     held = []
             if held:
                 yield pack(ids, held)
+            ws.trim()
 
     def pack(ids: pa.Array, held: list) -> pa.RecordBatch:
         rows, size, a, b, sketch, keys = zip(*held, strict=True)
@@ -146,6 +147,7 @@ def element_sets(docs: DataFrame, n: int) -> DataFrame:
                     held = []
             if held:
                 yield pack(batch, held)
+            ws.trim()
 
     def pack(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
         rows, sets = zip(*held, strict=True)

@@ -128,7 +128,9 @@ def mix(docs: DataFrame, m: Mix | None = None) -> DataFrame:
     m = m or Mix()
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    about = docs.select("doc_id", "source", word_count().alias("size"), F.pmod(F.xxhash64(F.lit(m.seed), "doc_id"), F.lit(BUCKETS)).alias("bucket"))
+    # The text is part of the hash: rows that share or lack a doc_id don't meet in one bucket.
+    drawn = lambda seed: F.xxhash64(F.lit(seed), "doc_id", "text")
+    about = docs.select("doc_id", "source", word_count().alias("size"), F.pmod(drawn(m.seed), F.lit(BUCKETS)).alias("bucket"), drawn(m.seed + 1).alias("draw"))
     about = scratch.save(about, "about")
     held = scratch.save(about.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "held")
     found = held.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size")).collect()
@@ -155,9 +157,9 @@ def mix(docs: DataFrame, m: Mix | None = None) -> DataFrame:
     w = W.partitionBy("source", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     slots = held.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
     slots = slots.join(quota, same(slots, quota, "source", "size")).select(slots["source"], slots["size"], "bucket", "source_size", "target", "whole", F.least("n", F.greatest(F.col("take") - F.col("before"), F.lit(0))).alias("need"), "n")
-    rows = about.join(slots, same(about, slots, "source", "size", "bucket")).select("doc_id", about["source"], about["size"], about["bucket"], "source_size", "target", "whole", "need", "n")
+    rows = about.join(slots, same(about, slots, "source", "size", "bucket")).select("doc_id", about["source"], about["size"], about["bucket"], "draw", "source_size", "target", "whole", "need", "n")
     # Only the one bucket of a length in which the quota ends needs an order among its rows.
-    rank = F.row_number().over(W.partitionBy("source", "size", "bucket").orderBy(F.xxhash64(F.lit(m.seed + 1), "doc_id"), "doc_id"))
+    rank = F.row_number().over(W.partitionBy("source", "size", "bucket").orderBy("draw", "doc_id"))
     part = (F.col("need") > 0) & (F.col("need") < F.col("n"))
     some = rows.filter(part).withColumn("more", (rank <= F.col("need")).cast("int"))
     rest = rows.filter(~part).withColumn("more", (F.col("need") > 0).cast("int"))

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tableloom.llm import wordscan as ws
 from tableloom.llm.files import file_size, read_range, writing
 from tableloom.llm.tokens import Vocabulary, encoder
 from tableloom.scratch import Scratch
@@ -42,6 +43,7 @@ def write_flat(docs: DataFrame, vocabulary: Vocabulary, separator: int, dtype: s
                 m = len(batch)
                 yield pa.RecordBatch.from_arrays([pa.array([file] * m, pa.string()), pa.array(np.arange(n, n + m)), batch.column(0)], ["file", "ordinal", "doc_id"])
                 n += m
+                ws.trim()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "file string, ordinal long, doc_id long")
 

@@ -28,6 +28,7 @@ VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 URN = "urn:page:"
+READ_BYTES = 16 << 20  # of decompressed records that one task reads, about
 INDEX = "page_id long, url string, file string, frame int, frame_start long, frame_size long, start long, size long"
 
 
@@ -128,7 +129,8 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch, min_bytes: i
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"))
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     bundles = max(1, -(-total // bundle_bytes))
-    bundle = F.pmod(F.xxhash64("page_id", "url"), F.lit(bundles)).alias("bundle")
+    # The payload is part of the hash: rows that share or lack an id and a url don't meet in one bundle.
+    bundle = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(bundles)).alias("bundle")
     sums = scratch.save(pages.filter(F.octet_length("html") >= min_bytes).select("page_id", F.sha1("html").alias("sha1"), bundle), "sums")
     first = sums.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").drop("n")
     again = sums.join(first, "sha1").filter(~F.col("page_id").eqNullSafe(F.col("first"))).select("bundle", "page_id", "sha1", "first")
@@ -169,7 +171,9 @@ def read_archives(index: DataFrame, payload: bool = False) -> DataFrame:
         rows = [parse(plain[s : s + n]) for s, n in zip(table["start"].to_pylist(), table["size"].to_pylist(), strict=True)]
         return pa.table([pa.array([r[c] for r in rows], t) for c, t in zip(names, kinds, strict=False)], names)
 
-    return index.groupBy("file", "frame").applyInArrow(read, fields)
+    # By bytes to read, not by the size of the index, which is tiny; of a given number, so it stays.
+    tasks = max(1, -(-(index.agg(F.sum("size")).first()[0] or 0) // READ_BYTES))
+    return index.repartition(tasks, "file", "frame").groupBy("file", "frame").applyInArrow(read, fields)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:

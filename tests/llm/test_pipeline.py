@@ -69,6 +69,17 @@ def test_lines_of_few_words_go_too(spark):
     assert {r["doc_id"]: r["text"] for r in cp.lines(spark, one, SF).collect()} == {1: "Yes.\na", 2: "b"}
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40)
+    for k, name in enumerate(["_lines", "_removed", "_row", "_class", "_copies", "_size", "_x0", "_x1", "_x2", "n_lines", "size", "copies"]):
+        docs = docs.withColumn(name, F.lit(k))
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns[-12:] == ["_lines", "_removed", "_row", "_class", "_copies", "_size", "_x0", "_x1", "_x2", "n_lines", "size", "copies"]
+        assert [tuple(r)[-12:] for r in docs.distinct().collect()][0] == tuple(range(12))
+    assert cp.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
 def test_run_keeps_rows_that_share_or_lack_an_id(spark, tmp_path):
     base = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60)
     ids = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, F.col("doc_id") - 1).otherwise(F.col("doc_id"))

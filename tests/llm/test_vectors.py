@@ -116,6 +116,16 @@ def test_cells_lose_no_link(spark):
         assert [got[i]["kept"] for i in range(700)] == (want == np.arange(700)).tolist()
 
 
+def test_many_cells_on_the_tables(spark):
+    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").filter("vec_id % 3 = 0")
+    found = df.toPandas()
+    u = cd.unit(np.stack(found["embedding"]).astype(float))
+    links = u @ u.T >= 0.9
+    np.fill_diagonal(links, False)
+    got = cd.near_duplicates(df, cd.Cells(rows_per_cell=200)).toPandas().set_index("vec_id").loc[found["vec_id"]]
+    assert got["n_links"].tolist() == links.sum(1).tolist() and links.sum() > 100
+
+
 def test_cells_odd_rows(spark):
     got = cd.near_duplicates(odd(spark)).collect()
     assert len(got) == len(ODD)

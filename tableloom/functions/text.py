@@ -143,8 +143,8 @@ def first_rule(text: Column, rules: list[tuple[str, str]], default: str = "unkno
 
 
 def first_date(text: Column) -> Column:
-    """The first 'd Month yyyy' of a text, '' if none."""
-    return F.regexp_extract(text, r"([0-9]{1,2}\s+(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+[0-9]{4})", 1)
+    """The first day, word and year of a text, as in 31 December 2025; '' if none."""
+    return F.regexp_extract(text, r"\b([0-9]{1,2}\s+[A-Za-z]+\s+[0-9]{4})\b", 1)
 
 
 def auto_label(name: Column) -> Column:
@@ -191,6 +191,24 @@ def escaped(text: Column) -> Column:
     return out
 
 
+def experiments(documents) -> "DataFrame":  # noqa: F821
+    """Logs (doc_id, text) in Markdown as their experiments (doc_id, id, title, status, hypothesis, outcome, learning, decision, on_slides).
+
+    An experiment is a third-level heading with an id, a title and a status, and the table below it.
+    """
+    head = r"(?i)^###\s+(E-[0-9]+)\s+[—–-]+\s+(.+?)\s+[●•]\s+(\w[\w /\t]+?)(?:\s*/[^\n]*)?\n"
+    rows = documents.withColumn("_at", F.locate("## 7.", F.col("text"))).select("doc_id", "_at", F.posexplode(F.split("text", r"(?=###\s+E-[0-9]+)")).alias("_i", "body"), "text")
+    rows = rows.filter(F.col("body").rlike(head)).withColumn("id", F.regexp_extract("body", head, 1))
+    raw = F.upper(F.trim(F.regexp_extract("body", head, 3)))
+    status = F.lit("failed")
+    for words, name in ((["DESIGN"], "insight"), (["IMPLEMENT"], "implemented"), (["INSIGHT"], "insight"), (["PARTIAL"], "partial"), (["ADOPT"], "adopted")):
+        status = F.when(raw.rlike("|".join(words)), F.lit(name)).otherwise(status)
+    field = lambda name: F.substring(F.trim(F.regexp_extract("body", rf"(?s)\|\s*\*\*{name}\*\*\s*\|\s*(.+?)(?=\n\||\z)", 1)), 1, 500).alias(name.lower())
+    number = F.regexp_extract("id", "([0-9]+)", 1).try_cast("int")
+    on_slides = (number >= 7) | ((F.col("_at") > 1) & (F.instr(F.col("text"), F.col("body")) > F.col("_at")))
+    return rows.select("doc_id", "id", F.trim(F.regexp_extract("body", head, 2)).alias("title"), status.alias("status"), *map(field, ("Hypothesis", "Outcome", "Learning", "Decision")), on_slides.alias("on_slides"))
+
+
 def markdown_field(text: Column, name: str) -> Column:
     """The second cell of the row of a Markdown table whose first is the bold name."""
     return F.trim(F.regexp_extract(text, rf"\|\s*\*\*{name}\*\*\s*\|\s*([^|\n]*)\|", 1))

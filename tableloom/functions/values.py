@@ -138,6 +138,11 @@ def valid_state(state: Column) -> Column:
     return state.isin(CELL_STATES)
 
 
+def is_printed_number(text: Column) -> Column:
+    """Whether a word is a dash or a number as tables print it: with separators, decimals, a per cent sign or in parentheses."""
+    return F.trim(text).rlike(r"^-$|^[0-9,]+([.][0-9]+)?%?$|^\([0-9,]+\)$")
+
+
 def is_numeric_cell(value: Column) -> Column:
     """Blank, or a number once separators, dashes and parentheses are gone."""
     s = F.regexp_replace(F.coalesce(value, F.lit("")), r"[,\-()\s]", "")

@@ -249,7 +249,7 @@ def table_record(tables: DataFrame) -> DataFrame:
 
 def summary_line(records: DataFrame, keys: list[str]) -> DataFrame:
     """Tables, those that need review, and the mean confidence."""
-    return records.groupBy(*keys).agg(F.count("*").alias("tables"), F.count_if("needs_review").alias("need_review"), F.round(F.avg("confidence"), 2).alias("avg_confidence"))
+    return records.groupBy(*keys).agg(F.count("*").alias("tables"), F.count_if("needs_review").alias("need_review"), F.round(F.avg(F.col("confidence").cast("decimal(4,2)")), 2).cast("double").alias("avg_confidence"))
 
 
 def confidence(reconciles: Column, flags: Column, zero_rows: Column) -> Column:

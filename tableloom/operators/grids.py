@@ -281,6 +281,44 @@ def column_map(columns: DataFrame, keys: list[str]) -> DataFrame:
     return data.select(*keys, "col", F.concat(F.lit("c"), F.row_number().over(W.partitionBy(*keys).orderBy("col"))).alias("col_id"))
 
 
+def border_spans(printed: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Anchors and spans by printed borders: printed(keys, row_id, col_idx, text), a null being merged with its left neighbour.
+
+    Gives (keys, row_id, col_idx, span, value) of the rows that have a span above 1.  The value of a span is the first
+    of the extracted cells(keys, row_id, col_idx, value) in it that isn't blank, else what is printed; an unmerged cell
+    keeps its own.
+    """
+    row = [*keys, "row_id"]
+    runs = printed.withColumn("_run", F.sum(F.col("text").isNotNull().cast("int")).over(W.partitionBy(*row).orderBy("col_idx"))).filter("_run > 0")
+    rows = runs.join(cells.withColumnRenamed("value", "_v"), [*row, "col_idx"], "left")
+    some = F.when(~F.coalesce("_v", F.lit("")).isin("", "-"), F.col("col_idx"))
+    spans = rows.groupBy(*row, "_run").agg(F.min("col_idx").alias("col_idx"), F.count("*").cast("int").alias("span"), F.min_by("_v", some).alias("_first"), F.min_by("_v", "col_idx").alias("_own"), F.max("text").alias("_text"))
+    shown = F.regexp_replace(F.trim("_text"), "[ ,]", "")
+    value = F.when(F.col("span") == 1, F.col("_own")).otherwise(F.coalesce("_first", F.when(shown != "", shown), F.lit("-")))
+    merged = spans.withColumn("_most", F.max("span").over(W.partitionBy(*row))).filter("_most > 1")
+    return merged.select(*row, "col_idx", "span", value.alias("value"))
+
+
+def merge_hints(words: DataFrame, keys: list[str], edges: list[float], share: float = 0.3) -> DataFrame:
+    """Merged cells of a page without grid lines: words(keys, text, x0, x1, top) and the edges between its columns.
+
+    A column is in use if that share of the lines has a word in it.  A number takes the used columns next to its left
+    that its line leaves empty: (keys, band, first_col, span, value).
+    """
+    rows = words_to_columns(words, keys, edges)
+    present = rows.select(*keys, "band", "col").distinct()
+    n = present.select(*keys, "band").distinct().groupBy(*keys).agg(F.count("*").alias("_n"))
+    used = present.groupBy(*keys, "col").agg(F.count("*").alias("_c")).join(n, keys).filter(F.col("_c") >= F.greatest(F.lit(1.0), F.col("_n") * share))
+    used = used.groupBy(*keys).agg(F.collect_set("col").alias("_used"))
+    lines = present.groupBy(*keys, "band").agg(F.collect_set("col").alias("_there"))
+    numbers = rows.filter(V.is_printed_number(F.col("text")))
+    numbers = numbers.groupBy(*keys, "band", "col").agg(F.max_by("text", "x0").alias("value")).join(lines, [*keys, "band"]).join(used, keys)
+    left = F.when(F.col("col") > 0, F.sequence(F.lit(0), F.col("col") - 1)).otherwise(F.array().cast("array<int>"))
+    stop = F.filter(left, lambda c: F.array_contains("_there", c) | ~F.array_contains("_used", c))
+    first = F.coalesce(F.array_max(stop), F.lit(-1)) + 1
+    return numbers.withColumn("first_col", first).filter("first_col < col").select(*keys, "band", "first_col", (F.col("col") - F.col("first_col") + 1).alias("span"), "value")
+
+
 def with_borders(cells: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
     """Cells (keys, row_id, col_idx, value) corrected by border information (keys, row_id, col_idx, span, value).
 

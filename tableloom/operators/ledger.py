@@ -56,9 +56,19 @@ def unit_usage(chunks: DataFrame, key: str, fields: list[str]) -> DataFrame:
     return chunks.groupBy(key).agg(*(F.sum(c).alias(c) for c in fields))
 
 
-def describe_call(label: Column) -> Column:
-    """A call's label, parts joined by underscores, as words."""
-    return F.array_join(F.filter(F.split(label, "_"), lambda x: x != ""), " ")
+def describe_call(label: Column, bank: Column, image: Column) -> Column:
+    """What a call was doing, from its label: a section's numbers, its pages as p7 or p47-48, multi, and a chunk as _c1.
+
+    bank and image add whose document it was and whether pictures were sent.
+    """
+    parts = F.split(label, "_")
+    pages = F.coalesce(F.get(F.filter(parts, lambda x: x.startswith("p") & x.rlike("[0-9]")), F.lit(0)), F.lit(""))
+    own = F.filter(parts, lambda x: ~x.startswith("p") & (x != F.regexp_replace(pages, "^p+", "")))
+    chunk = F.regexp_extract(label, "_c([1-5])$", 1)
+    section = F.array_join(F.when(chunk != "", F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0)))).otherwise(own), ".")
+    section = F.regexp_replace(section, r"^[._]+|[._]+$", "")
+    tail = [F.when(label.contains("multi"), " (shared page — multiple sections)").otherwise(""), F.when(chunk != "", F.concat(F.lit(" chunk "), chunk)).otherwise(""), F.when(image, " +image").otherwise("")]
+    return F.trim(F.concat(bank, F.lit(" §"), section, F.lit(" "), pages, *tail))
 
 
 def unique_names(rows: DataFrame, base: str, order: list, keys: list[str], width: int = 31) -> DataFrame:
@@ -98,6 +108,32 @@ def sheet_order(name: str) -> list[Column]:
     return [rank, F.regexp_extract(c, "^([A-Z])[.]", 1), number, c]
 
 
+def branch(passes: Column) -> Column:
+    """How a slide was read, from the names of its calls' passes."""
+    return F.when(F.array_contains(passes, "1s"), "single-pass").when(F.size(F.coalesce(passes, F.array().cast("array<string>"))) > 0, "multi-pass").otherwise("resumed")
+
+
+def bank_results(slides: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per bank of slides (bank, n_points, cost_usd): their number, points and cost, and how long its last run (bank, elapsed, generated_at) took."""
+    last = runs.groupBy(F.upper("bank").alias("bank")).agg(F.max_by("elapsed", "generated_at").alias("elapsed"))
+    rows = slides.groupBy("bank").agg(F.count("*").alias("slides"), F.sum("n_points").alias("points"), F.round(F.sum("cost_usd"), 4).alias("cost"))
+    return rows.join(last, "bank", "left").withColumn("elapsed", F.coalesce("elapsed", F.lit("—")))
+
+
+def run_panel(runs: DataFrame) -> DataFrame:
+    """Runs as a panel lists them: gaps as dashes or zeros, the time to the minute, oldest first."""
+    dash = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("—")).alias(c)
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    date = F.replace(F.substring(F.coalesce("generated_at", F.lit("")), 1, 16), F.lit("T"), F.lit(" "))
+    return runs.orderBy(F.coalesce("generated_at", F.lit(""))).select(dash("bank"), dash("document"), dash("slides"), dash("calls"), zero("input_tokens"), zero("output_tokens"), F.round(F.coalesce("cost", F.lit(0.0)), 4).alias("cost"), dash("elapsed"), date.alias("date"))
+
+
+def unreconciled(tables: DataFrame, keys: list[str]) -> DataFrame:
+    """How many tables (keys, table_id, totals_reconcile) were read, how many don't reconcile, and the first five of those."""
+    off = F.lower(F.coalesce("totals_reconcile", F.lit(""))) == "false"
+    return tables.groupBy(*keys).agg(F.count("*").alias("tables"), F.count_if(off).alias("flagged"), F.array_join(F.slice(F.array_sort(F.collect_list(F.when(off, F.col("table_id")))), 1, 5), ", ").alias("first"))
+
+
 def top_types(rows: DataFrame, what: str, n: int = 4) -> DataFrame:
     """The n most frequent values, ties by value."""
     return rows.groupBy(what).agg(F.count("*").alias("n")).orderBy(F.desc("n"), what).limit(n)

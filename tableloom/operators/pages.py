@@ -47,6 +47,13 @@ def contents_start(pages: DataFrame, first: int = 8) -> DataFrame:
     return pages.groupBy("doc_id").agg(F.coalesce(hit, F.lit(2)).alias("page_no"))
 
 
+def legacy_contents_start(pages: DataFrame, first: int = 6) -> DataFrame:
+    """The first of a document's first pages that says contents and a part or page, else its second page."""
+    said = F.upper("text")
+    hit = F.contains(said, F.lit("CONTENT")) & (F.contains(said, F.lit("PART A")) | F.contains(said, F.lit("PART B")) | F.contains(said, F.lit("PAGE")))
+    return pages.groupBy("doc_id").agg(F.coalesce(F.min(F.when(hit & (F.col("page_no") <= first), F.col("page_no"))), F.lit(2)).alias("page_no"))
+
+
 def contents_pages(pages: DataFrame, starts: DataFrame, span: int = 8, least: int = 2) -> DataFrame:
     """Contents pages: from the start as long as a page has dot-leader lines."""
     leaders = F.size(F.filter(T.lines(F.col("text")), lambda x: x.rlike("[.…]{4,}")))
@@ -91,12 +98,19 @@ def cap_tables(tables: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def manifest(tables: DataFrame) -> DataFrame:
-    """Tables (doc_id, path array<int>, start_page, end_page, dates array<string>) numbered in reading order within a document, one per date."""
-    rows = tables.select("doc_id", "path", "start_page", "end_page", F.posexplode_outer("dates").alias("k", "date"))
-    n = F.row_number().over(W.partitionBy("doc_id").orderBy("path", "start_page", F.coalesce("k", F.lit(0))))
-    rows = rows.withColumn("table_no", n)
-    pages = F.array_join(F.transform(F.sequence("start_page", "end_page"), lambda p: p.cast("string")), "+")
-    return rows.withColumn("table_id", F.format_string("t%03d_p%d", "table_no", "start_page")).withColumn("pages", pages).drop("k")
+    """Tables (doc_id, path array<int>, title, start_page, end_page, layout, dates array<string>, notes) as manifest rows.
+
+    They are numbered in reading order within a document.  A table that stands several times on its page becomes one row
+    per date, with the date in its title; others keep all their dates in one row.
+    """
+    several = (F.col("layout") == "multiple_on_page") & (F.size("dates") > 1)
+    dates = F.when(several, F.col("dates")).otherwise(F.array(F.array_join(F.coalesce("dates", F.array().cast("array<string>")), ", ")))
+    rows = tables.withColumn("_several", F.coalesce(several, F.lit(False))).select("*", F.posexplode(dates).alias("_k", "date")).drop("dates").withColumnRenamed("date", "dates")
+    rows = rows.withColumn("table_no", F.row_number().over(W.partitionBy("doc_id").orderBy("path", "start_page", "_k")))
+    pages = F.transform(F.sequence("start_page", "end_page"), lambda p: p.cast("string"))
+    rows = rows.withColumn("table_id", F.concat(F.format_string("t%03d_p", "table_no"), F.array_join(pages, "_"))).withColumn("pages", F.array_join(pages, "+"))
+    rows = rows.withColumn("n_pages", F.size(pages)).withColumn("needs_agent_review", F.coalesce("notes", F.lit("")) != "")
+    return rows.withColumn("title", F.when(F.col("_several"), F.concat("title", F.lit(" - "), "dates")).otherwise(F.col("title"))).drop("_k", "_several", "notes")
 
 
 def clamp(page: Column, low: Column, high: Column) -> Column:

@@ -12,7 +12,7 @@ ROW_TYPE_ALIASES = {"header": "section_header", "sub_header": "sub", "opening":
 KNOWN = ["series", "period", "value", "row_type", "level", "parent", "group", "sign", "order"]
 VISUAL = ["waterfall", "stacked_bar", "stacked_bar_with_overlay", "trend_line", "kpi_grid", "pie", "donut_dual_ring"]
 KNOWN_TYPES = ["text_table", *VISUAL, "npa_movement_table", "none"]
-META_KEYS = ["suppressed", "concept_id", "confidence", "source_ref", "extracted_by"]
+META_KEYS = ["overlay_series"]
 
 SLIDE = "slide_title string, elements array<struct<element_idx int, element_type string, element_title string, source string, units string, self_check string, data_points array<string>>>"
 
@@ -74,10 +74,14 @@ def first_order(points: DataFrame, keys: list[str], what: str) -> DataFrame:
     return firsts.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy("_o", what))).drop("_o")
 
 
-def extra_keys(points: DataFrame, keys: list[str]) -> DataFrame:
-    """The extra fields' names that aren't labels, meta data or periods, by first appearance."""
+def extra_keys(points: DataFrame, keys: list[str], periods: bool = True) -> DataFrame:
+    """The extra fields' names that aren't labels or meta data, by first appearance; without periods, none named like one.
+
+    keys of an element give its fields as a whole, keys with the period those of one period, which leave out periods.
+    """
     rows = points.select(*keys, "order", F.posexplode(F.map_keys("extra_fields")).alias("i", "name"))
-    rows = rows.filter(~F.col("name").endswith("_label") & ~F.col("name").isin(META_KEYS) & ~T.is_period(F.col("name")))
+    rows = rows.filter(~F.col("name").endswith("_label") & ~F.col("name").isin(META_KEYS))
+    rows = rows if periods else rows.filter(~T.is_period(F.col("name")))
     firsts = rows.groupBy(*keys, "name").agg(F.min(F.struct("order", "i")).alias("_o"))
     return firsts.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy("_o", "name"))).drop("_o")
 
@@ -101,12 +105,6 @@ def kpis(points: DataFrame, keys: list[str]) -> DataFrame:
     return keep_first(points.filter("period is not null").unionByName(rest), [*keys, "series"], ["order", "value"])
 
 
-def max_columns(points: DataFrame, keys: list[str]) -> DataFrame:
-    """How wide the widest element of a slide is: label, periods and their extra fields, two at least."""
-    per = points.groupBy(*keys, "element_idx").agg(F.count_distinct(F.coalesce("period", F.lit(""))).alias("p"), F.size(F.array_distinct(F.flatten(F.collect_list(F.map_keys("extra_fields"))))).alias("x"))
-    return per.groupBy(*keys).agg(F.max(F.greatest(1 + F.col("p") + F.col("x"), F.lit(2))).alias("n_cols"))
-
-
 def needs_check(source: Column, value: Column) -> Column:
     """Whether a shown value comes from a picture or wasn't found in the text."""
     return source.isin("chart", "unverified") & ~F.coalesce(value, F.lit("")).isin("", "-", "?")

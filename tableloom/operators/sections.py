@@ -16,6 +16,10 @@ REF_END = r"([A-E]-[0-9]{1,3}|[0-9]{1,4})\s*$"
 WITH_REF = r"^([0-9]+(?:[.][0-9]+)*)[.]?\s+(.+?)[\s.…]{2,}\s*([A-E]-[0-9]{1,3}|[0-9]{1,4})\s*$"
 WITHOUT_REF = r"^([0-9]+[.][0-9]+(?:[.][0-9]+)*)[.]?\s*([A-Za-z(].*?)?\s*$"
 BARE_NUMBER = r"^[0-9]+[.][0-9]+(?:[.][0-9]+)*$"
+OLD_PART = r"(?i)^PART\s+([A-Z])\s*[:\-]\s*(.+?)(?:\.{2,}|…|$)"
+OLD_ENTRY = r"^([0-9]+(?:[.][0-9]+)*)\s+(.+?)(?:[.…\s]{2,}\s*([A-E]-[0-9]+))?\s*$"
+OLD_PARTS = {"B": r"(?i)^20\s|^Part\s*B\b", "C": r"(?i)^21\s|^Part\s*C\b", "D": r"(?i)^22\s|^Part\s*D\b|^Attest", "E": r"(?i)^23\s|^Part\s*E\b|^Abbrev"}
+OLD_STRUCTURE = "(?i)^(cover|content)s?$"
 PAGE_HEAD = r"(?i)CONTENTS\s+Page|DBS GROUP|OCBC|UOB GROUP"
 
 
@@ -74,6 +78,59 @@ def parse_contents(entries: DataFrame) -> DataFrame:
     return keep_first(rows, ["doc_id", "kind", F.coalesce("section_id", "part")], ["entry"])
 
 
+def legacy_contents(lines: DataFrame) -> DataFrame:
+    """Contents lines (doc_id, line_no, line) by the older grammar: (doc_id, entry, kind, part, number, section_id, title, doc_page).
+
+    An entry is one line, sections count within a part only, and a page is a part's letter and a number.
+    """
+    clean = F.trim(F.regexp_replace(F.trim("line"), r"[.…]{2,}", "  "))
+    rows = lines.withColumn("_c", clean).withColumn("_own", F.nullif(F.upper(F.regexp_extract("_c", OLD_PART, 1)), F.lit("")))
+    rows = rows.withColumn("part", F.last("_own", True).over(W.partitionBy("doc_id").orderBy("line_no")))
+    head, entry = F.col("_own").isNotNull(), F.col("_c").rlike(OLD_ENTRY) & F.col("part").isNotNull()
+    number = F.when(head, F.col("part")).otherwise(F.regexp_extract("_c", OLD_ENTRY, 1))
+    title = F.when(head, F.regexp_extract("_c", OLD_PART, 2)).otherwise(F.regexp_extract("_c", OLD_ENTRY, 2))
+    page = F.when(head, F.regexp_extract("_c", r"([A-E]-[0-9]+)\s*$", 1)).otherwise(F.regexp_extract("_c", OLD_ENTRY, 3))
+    rows = rows.filter(head | entry).select("doc_id", F.col("line_no").alias("entry"), F.when(head, "part").otherwise("section").alias("kind"), "part", number.alias("number"), F.when(~head, F.concat_ws(".", "part", number)).alias("section_id"), F.regexp_replace(F.trim(title), "[. ]+$", "").alias("title"), F.nullif(page, F.lit("")).alias("doc_page"))
+    return keep_first(rows, ["doc_id", "kind", F.coalesce("section_id", "part")], ["entry"])
+
+
+def part_starts(outline: DataFrame) -> DataFrame:
+    """(doc_id, part, start_page) from bookmarks (doc_id, ord, title, page_no): the first that names each part; A from the fifth page on."""
+    rows = outline.filter("page_no is not null").withColumn("title", F.trim("title"))
+    named = [rows.filter(F.col("title").rlike(pattern)).withColumn("part", F.lit(part)) for part, pattern in OLD_PARTS.items()]
+    found = named[0]
+    for more in named[1:]:
+        found = found.unionByName(more)
+    found = found.groupBy("doc_id", "part").agg(F.min_by("page_no", "ord").alias("start_page"))
+    body = rows.filter(~F.col("title").rlike(OLD_STRUCTURE) & (F.col("page_no") >= 5))
+    first = outline.select("doc_id").distinct().join(body.groupBy("doc_id").agg(F.min_by("page_no", "ord").alias("start_page")), "doc_id", "left")
+    return found.unionByName(first.select("doc_id", F.lit("A").alias("part"), F.coalesce("start_page", F.lit(5)).alias("start_page")))
+
+
+def spread_anchors(sections: DataFrame, parts: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Sections (doc_id, part, number, entry) with pages, from the bookmarks' pages (doc_id, page_no) within parts (doc_id, part, start_page, end_page).
+
+    Top sections take the pages in order, those beyond the last page the last one, and end before the next one.
+    If there are pages left over for all sections below them, these take them in order, else their top section's pages.
+    """
+    pages = parts.join(anchors.select("doc_id", "page_no").distinct(), "doc_id").filter("page_no between start_page and end_page").groupBy("doc_id", "part").agg(F.sort_array(F.collect_set("page_no")).alias("_pages"))
+    none = F.array().cast("array<int>")
+    rows = sections.join(parts.withColumnsRenamed({"start_page": "_low", "end_page": "_high"}), ["doc_id", "part"]).join(pages, ["doc_id", "part"], "left").withColumn("_pages", F.coalesce("_pages", none))
+    own = W.partitionBy("doc_id", "part").orderBy("entry")
+    tops = rows.filter(~F.col("number").contains(".")).withColumn("_i", F.row_number().over(own))
+    tops = tops.withColumn("start_page", F.coalesce(F.get("_pages", F.least(F.col("_i"), F.size("_pages")) - 1), F.col("_low")))
+    following = F.lead("start_page").over(own)
+    tops = tops.withColumn("end_page", F.when(following.isNotNull(), F.greatest("start_page", following - 1)).otherwise(F.col("_high")))
+    used = tops.groupBy("doc_id", "part").agg(F.collect_set("start_page").alias("_used"))
+    subs = rows.filter(F.col("number").contains(".")).withColumn("_i", F.row_number().over(own)).withColumn("_n", F.count("*").over(W.partitionBy("doc_id", "part"))).join(used, ["doc_id", "part"], "left")
+    free = F.array_except("_pages", F.coalesce("_used", none))
+    lead = tops.select("doc_id", "part", F.col("number").alias("_top"), F.col("start_page").alias("_s"), F.col("end_page").alias("_e"))
+    subs = subs.withColumn("_top", F.split("number", "[.]")[0]).join(lead, ["doc_id", "part", "_top"], "left").withColumn("_own", F.when(F.size(free) >= F.col("_n"), F.get(free, F.col("_i") - 1)))
+    subs = subs.withColumn("start_page", F.coalesce("_own", "_s")).withColumn("end_page", F.coalesce("_own", "_e"))
+    keep = [*sections.columns, "start_page", "end_page"]
+    return tops.select(keep).unionByName(subs.select(keep))
+
+
 def keep_first(rows: DataFrame, keys: list, order: list) -> DataFrame:
     """The first row of each key, in the given total order."""
     return rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")

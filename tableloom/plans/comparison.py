@@ -99,19 +99,49 @@ def cached_work(t: Tables) -> DataFrame:
     return matching.cached(work, done, ["o_orderkey", "o_custkey"]).select("o_orderkey")
 
 
+WORD = "list_distinct(regexp_extract_all(lower({}), '[a-z0-9]+'))"
+TITLES_SQL = f"""tb as (select page_id // 25 as page, page_id as l, case when page_id % 9 = 0 then '1.' || (page_id // 25 * 4 + page_id % 4) end as tag, {WORD.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} as w from pages),
+lf as (select item_id // 4 as page, item_id as r, '1.' || item_id as num, {WORD.format("text")} as w, row_number() over (partition by item_id // 4 order by item_id) as k from benchmark)"""
+
+
 def _titles(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Lines of the benchmark as leaves, page titles as tables, dealt to eight shared pages."""
-    leaves = t.benchmark.select((F.col("item_id") % 8).cast("int").alias("page"), F.col("item_id").alias("r_ord"), F.concat(F.lit("1."), F.col("item_id").cast("string")).alias("number"), F.col("text").alias("title"))
-    tables = t.pages.select((F.col("page_id") % 8).cast("int").alias("page"), F.col("page_id").alias("l_ord"), F.when(F.col("page_id") % 9 == 0, F.concat(F.lit("1."), (F.col("page_id") % 8).cast("string"))).alias("section_id"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    """Texts of the benchmark as leaves, four to a shared page; titles of web pages as tables, twenty-five to one, every ninth tagged."""
+    leaves = t.benchmark.select(F.expr("item_id div 4").alias("page"), F.col("item_id").alias("r_ord"), F.concat(F.lit("1."), F.col("item_id").cast("string")).alias("number"), F.col("text").alias("title"))
+    tag = F.concat(F.lit("1."), F.expr("page_id div 25 * 4 + page_id % 4").cast("string"))
+    tables = t.pages.select(F.expr("page_id div 25").alias("page"), F.col("page_id").alias("l_ord"), F.when(F.col("page_id") % 9 == 0, tag).alias("section_id"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
     return tables, leaves
 
 
-@query("greedy_route")
+ROUTE_SQL = f"""with recursive {TITLES_SQL},
+tg as (select tb.*, lf.r as t from tb left join lf on lf.page = tb.page and lf.num = tb.tag),
+p as (select tg.page, tg.l, lf.r, lf.k, len(list_intersect(tg.w, lf.w)) / greatest(len(lf.w), 1) as s from tg join lf on lf.page = tg.page where t is null and len(list_intersect(tg.w, lf.w)) > 0),
+pl as (select page, list({{'l': l, 'r': r, 's': s}} order by s desc, l, k) as ps from p group by page), fl as (select page, list(distinct t) as f from tg where t is not null group by page),
+st(page, i, placed, taken, hit) as (select pl.page, 0::bigint, []::bigint[], coalesce(f, []::bigint[]), null::struct(l bigint, r bigint, s double) from pl left join fl on fl.page = pl.page
+ union all select page, i + 1, case when ok then list_append(placed, x.l) else placed end, case when ok then list_append(taken, x.r) else taken end, case when ok then x end
+ from (select st.page, i, placed, taken, ps[i + 1] as x, not list_contains(placed, ps[i + 1].l) and (ps[i + 1].s >= 0.5 or not list_contains(taken, ps[i + 1].r)) as ok from st join pl on pl.page = st.page where i < len(ps)) q),
+o as (select tg.page, tg.l, t, hit.r as h, hit.s as s, coalesce(t, hit.r) as own from tg left join st on st.page = tg.page and hit.l = tg.l),
+b as (select *, last_value(own ignore nulls) over (partition by page order by l rows between unbounded preceding and 1 preceding) as above from o),
+n as (select *, row_number() over (partition by page, coalesce(own, above) is null order by l) as n, count(*) over (partition by page) as tables from b),
+fr as (select page, r, row_number() over (partition by page order by k) as n from lf where not exists (select 1 from o where o.page = lf.page and o.own = lf.r)), e as (select page, arg_max(r, k) as last, count(*) as leaves from lf group by page)
+select n.page, n.l as l_ord, coalesce(own, above, fr.r, last) as r_ord, case when t is not null then 'section_id' when h is not null then 'title' when above is not null then 'overflow' else 'order' end as method,
+round(case when t is not null then 1.0 else coalesce(s, 0) end::double, 6) as score, own is null or (t is null and s < 0.34) or tables <> leaves as flagged from n join e on e.page = n.page left join fr on fr.page = n.page and fr.n = n.n"""
+
+
+@query("greedy_route", ROUTE_SQL)
 def greedy_route(t: Tables) -> DataFrame:
-    return matching.route_tables(*_titles(t))
+    return matching.route_tables(*_titles(t)).withColumn("score", F.round("score", 6))
+
+
+MATCH_SQL = f"""with recursive {TITLES_SQL}, stop as (select ['a', 'b', 'c', 'the', 'of', 'and'] as x),
+x as (select tb.page, l, list_filter(w, lambda y: not list_contains(stop.x, y)) as w from tb, stop), y as (select lf.page, r, row_number() over (partition by page order by r) as i, list_filter(w, lambda y: not list_contains(stop.x, y)) as w from lf, stop),
+p as (select y.page, y.r, x.l, len(list_intersect(x.w, y.w)) / least(len(x.w), len(y.w)) as s from x join y on x.page = y.page where len(list_intersect(x.w, y.w)) > 0),
+g as (select page, i, r, list({{'l': l, 's': s}} order by s desc, l) filter (l is not null) as c from y left join p using (page, r) group by page, i, r),
+st(page, i, used, r, hit) as (select distinct page, 0::bigint, []::bigint[], null::bigint, null::struct(l bigint, s double) from g
+ union all select page, i + 1, case when b.s >= 0.34 then list_append(used, b.l) else used end, r, case when b.s >= 0.34 then b end from (select st.page, st.i, used, g.r, list_filter(g.c, lambda y: not list_contains(used, y.l))[1] as b from st join g on g.page = st.page and g.i = st.i + 1) q)
+select page, r as r_ord, hit.l as l_ord, round(coalesce(hit.s, 0), 2)::double as score from st where i > 0"""
 
 
-@query("greedy_tab_match")
+@query("greedy_tab_match", MATCH_SQL)
 def greedy_tab_match(t: Tables) -> DataFrame:
     tables, leaves = _titles(t)
-    return matching.match_tabs(leaves, tables, "page")
+    return matching.match_tabs(leaves, tables, "page").select("page", "r_ord", "l_ord", "score")

@@ -152,15 +152,16 @@ def table_titles(t: Tables) -> DataFrame:
     return pages.table_titles(t.part.select("p_partkey", F.get(titles, (F.col("p_size") % 7).cast("int")).alias("title"))).select("p_partkey")
 
 
-MANIFEST_SQL = f"""with k as {K}, d as (select *, unnest(case when o_orderkey % 3 = 0 then ['d1', 'd2'] else [null] end) as date from k), n as (select *, row_number() over (partition by o_custkey order by k, date) as t from d)
-select o_custkey as doc_id, t::int as table_no, 't' || lpad(t::varchar, 3, '0') || '_p' || k as table_id, date, k || '+' || (k + 1) as pages from n"""
+MANIFEST_SQL = f"""with k as {K}, d as (select *, unnest(case when o_orderkey % 3 = 0 then ['d1', 'd2'] when o_orderkey % 3 = 1 then ['d1, d2'] else [''] end) as date from k), n as (select *, row_number() over (partition by o_custkey order by k, date) as t from d)
+select o_custkey as doc_id, t::int as table_no, 't' || lpad(t::varchar, 3, '0') || '_p' || k || '_' || k + 1 as table_id, date as dates, k || '+' || k + 1 as pages, 'T' || case when o_orderkey % 3 = 0 then ' - ' || date else '' end as title, o_orderkey % 5 = 0 as needs_agent_review from n"""
 
 
 @query("table_manifest", MANIFEST_SQL)
 def table_manifest(t: Tables) -> DataFrame:
-    k = F.col("k").cast("int")
-    rows = ranked(t).select("doc_id", F.array(k).alias("path"), k.alias("start_page"), (k + 1).alias("end_page"), F.when(F.col("o_orderkey") % 3 == 0, F.array(F.lit("d1"), F.lit("d2"))).alias("dates"))
-    return pages.manifest(rows).select("doc_id", "table_no", "table_id", "date", "pages")
+    """Tables that stand twice on their page, ones with two dates that don't, and ones without."""
+    k, form = F.col("k").cast("int"), F.col("o_orderkey") % 3
+    rows = ranked(t).select("doc_id", F.array(k).alias("path"), F.lit("T").alias("title"), k.alias("start_page"), (k + 1).alias("end_page"), F.when(form == 0, "multiple_on_page").otherwise("spanning").alias("layout"), F.when(form < 2, F.array(F.lit("d1"), F.lit("d2"))).alias("dates"), F.when(F.col("o_orderkey") % 5 == 0, "look").alias("notes"))
+    return pages.manifest(rows).select("doc_id", "table_no", "table_id", "dates", "pages", "title", "needs_agent_review")
 
 
 @query("resume_groups", f"with k as {K} select o_custkey as doc_id, k::int as k from k where k >= 3")
@@ -212,3 +213,79 @@ def slide_tab_names(t: Tables) -> DataFrame:
 
     rows = t.part.select("p_partkey", T.slide_tab_base(F.col("p_size"), F.col("p_type")).alias("b"))
     return ledger.unique_names(rows, "b", ["p_partkey"], []).select("p_partkey", "name")
+
+
+@query("experiment_log", """select p_partkey as doc_id, 'E-' || i as id, 'Trial ' || i as title, case (p_partkey + i) % 5 when 0 then 'adopted' when 1 then 'partial' when 2 then 'insight' when 3 then 'implemented' else 'failed' end as status, 'worked ' || p_size as outcome, i >= 7 or p_partkey % 2 = 0 and i >= 6 as on_slides from part, range(5, 8) r(i)""")
+def experiment_log(t: Tables) -> DataFrame:
+    """Logs of three experiments each; in every second the chapter on slides begins before the second."""
+    words = F.array(*map(F.lit, ["ADOPTED", "PARTIAL", "Insight", "implemented / later", "rejected"]))
+    one = lambda i: text(f"### E-{i} — Trial {i} ● ", F.get(words, ((F.col("p_partkey") + i) % 5).cast("int")), f"\n\n| **Hypothesis** | it {i} |\n| **Outcome** | worked ", F.col("p_size"), "\n| **Learning** | x\n\n")
+    body = text("# Log\n", one(5), F.when(F.col("p_partkey") % 2 == 0, "## 7. Slides\n").otherwise(""), one(6), one(7))
+    return T.experiments(t.part.select(F.col("p_partkey").alias("doc_id"), body.alias("text"))).select("doc_id", "id", "title", "status", "outcome", "on_slides")
+
+
+OLD_SQL = f"""with k as {K}, e as (select o_custkey as doc_id, k, o_orderkey % 3 as f from k where o_custkey % 2 = 1) select doc_id, 'section' as kind, 'B' as part, k || case when f = 2 then '.1' else '' end as number, 'B.' || k || case when f = 2 then '.1' else '' end as section_id, 'Title of it' as title, case when f = 0 then 'B-' || k end as doc_page from e
+union all select distinct o_custkey, 'part', 'B', 'B', null, 'Disclosures   B-1', 'B-1' from orders where o_custkey % 2 = 1"""
+
+
+@query("legacy_contents", OLD_SQL)
+def legacy_contents(t: Tables) -> DataFrame:
+    """Sections with and without a page; those of documents without a part don't count."""
+    k, form = F.col("k"), F.col("o_orderkey") % 3
+    line = F.when(form == 0, text(k, " Title of it ...... B-", k)).when(form == 1, text(k, " Title of it.")).otherwise(text(k, ".1 Title of it"))
+    lines = ranked(t).select("doc_id", k.cast("int").alias("line_no"), line.alias("line"))
+    heads = lines.filter("line_no = 1 and doc_id % 2 = 1").select("doc_id", F.lit(0).alias("line_no"), F.lit("Part B : Disclosures   B-1").alias("line"))
+    return sections.legacy_contents(lines.unionByName(heads)).drop("entry")
+
+
+PART_SQL = f"""with k as {K} select o_custkey as doc_id, case o_orderkey % 6 when 0 then 'B' when 1 then 'C' when 2 then 'D' when 3 then 'E' end as part, arg_min(k + 4, k)::int as start_page from k where o_orderkey % 6 < 4 group by 1, 2
+union all select c_custkey, 'A', coalesce(min(case when o_orderkey % 6 <> 4 then k + 4 end), 5)::int from customer join k on o_custkey = c_custkey group by 1"""
+
+
+@query("part_starts", PART_SQL)
+def part_starts(t: Tables) -> DataFrame:
+    titles = F.array(*map(F.lit, ["20 LCR", "Part C", "Attestation", "23 Words", "Contents", "Annex"]))
+    return sections.part_starts(ranked(t).select("doc_id", F.col("k").alias("ord"), F.get(titles, (F.col("o_orderkey") % 6).cast("int")).alias("title"), (F.col("k") + 4).cast("int").alias("page_no")))
+
+
+SPREAD_SQL = f"""with k as {K}, t as (select o_custkey as d, k, n, case when o_custkey % 2 = 0 then 2 * n else (n + 1) // 2 end as m from k), a as (select *, 10 + least(k, m) as s from t)
+select d as doc_id, k::varchar as number, s::int as start_page, case when k = n then 99 else greatest(s, 10 + least(k + 1, m) - 1) end::int as end_page from a
+union all select d, k || '.1', case when m = 2 * n then 10 + n + k else s end::int, case when m = 2 * n then 10 + n + k when k = n then 99 else greatest(s, 10 + least(k + 1, m) - 1) end::int from a"""
+
+
+@query("spread_anchors", SPREAD_SQL)
+def spread_anchors(t: Tables) -> DataFrame:
+    """Every section has one below it; in every second document there are pages for all, in the others for half of the top ones."""
+    rows, k, n = ranked(t), F.col("k").cast("int"), F.col("n").cast("int")
+    tree = rows.select("doc_id", F.lit("A").alias("part"), F.explode(F.array(text(k), text(k, ".1"))).alias("number"), k.alias("entry"))
+    parts = rows.select("doc_id", F.lit("A").alias("part"), F.lit(5).alias("start_page"), F.lit(99).alias("end_page")).distinct()
+    many = F.when(F.col("o_custkey") % 2 == 0, 2 * n).otherwise(F.floor((n + 1) / 2).cast("int"))
+    pages_ = rows.filter("k = 1").select("doc_id", F.explode(F.sequence(F.lit(1), many)).alias("i")).select("doc_id", (F.col("i") + 10).cast("int").alias("page_no"))
+    return sections.spread_anchors(tree, parts, pages_).select("doc_id", "number", "start_page", "end_page")
+
+
+@query("legacy_contents_start", f"with k as {K} select o_custkey as doc_id, coalesce(min(case when o_orderkey % 4 = 0 and k <= 6 then k end), 2)::int as page_no from k group by 1")
+def legacy_contents_start(t: Tables) -> DataFrame:
+    body = F.when(F.col("o_orderkey") % 4 == 0, "Contents\nPart A").when(F.col("o_orderkey") % 4 == 1, "Contents only").otherwise("A page of part A")
+    return pages.legacy_contents_start(ranked(t).select("doc_id", F.col("k").cast("int").alias("page_no"), body.alias("text")))
+
+
+@query("described_calls", "select o_orderkey, 'B§ ' || o_custkey as x, case o_orderkey % 4 when 0 then 'B §15.3 p47-48' when 1 then 'B §multi p7 (shared page — multiple sections)' when 2 then 'B §15.3 p47-48 chunk 2' else 'B §9 p3 +image' end as description from orders")
+def described_calls(t: Tables) -> DataFrame:
+    from tableloom.operators import ledger
+
+    labels = F.array(*map(F.lit, ["15_3_p47-48", "p7_multi", "15_3_p47-48_c2", "9_p3"]))
+    form = F.col("o_orderkey") % 4
+    return t.orders.select("o_orderkey", text("B§ ", F.col("o_custkey")).alias("x"), ledger.describe_call(F.get(labels, form.cast("int")), F.lit("B"), form == 3).alias("description"))
+
+
+@query("printed_numbers", "select o_orderkey, o_orderkey % 8 < 5 as printed from orders")
+def printed_numbers(t: Tables) -> DataFrame:
+    words = F.array(*map(F.lit, ["-", "1,234", " 17.5% ", "(5,000)", "12", "(5.5)", "1a", "n.m."]))
+    return t.orders.select("o_orderkey", V.is_printed_number(F.get(words, (F.col("o_orderkey") % 8).cast("int"))).alias("printed"))
+
+
+@query("first_dates", "select o_orderkey, case when o_orderkey % 3 = 0 then '' else strftime(o_orderdate, '%-d %B %Y') end as date from orders")
+def first_dates(t: Tables) -> DataFrame:
+    shown = F.concat(F.lit("Pillar 3, as at "), F.date_format("o_orderdate", "d MMMM yyyy"), F.lit("; 1 May 1999"))
+    return t.orders.select("o_orderkey", T.first_date(F.when(F.col("o_orderkey") % 3 == 0, "no date in 2025").otherwise(shown)).alias("date"))

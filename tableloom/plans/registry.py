@@ -33,5 +33,5 @@ def query(name: str, sql: str | None = None) -> Callable:
     return put
 
 
-for module in ("values", "documents", "pages", "structure", "comparison", "summaries", "contents"):
+for module in ("values", "documents", "pages", "structure", "comparison", "summaries", "contents", "rendering", "layouts", "reports", "files"):
     import_module(f"tableloom.plans.{module}")

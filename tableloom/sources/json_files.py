@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableloom.functions.text import section_key, without_fences
+from tableloom.operators.ledger import branch
 
 SECTION = "section_id string, part string, number string, title string, page_ref string, start_page int, end_page int, is_leaf boolean"
 CONTENTS = f"document struct<title string, pages int>, provenance struct<method string, warnings array<string>>, parts array<struct<part string, title string, start_page int, end_page int>>, sections array<struct<{SECTION}>>, all_sections array<struct<{SECTION}>>"
@@ -39,6 +40,32 @@ def save_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def save_raw(answers: DataFrame, path: str) -> None:
+    """Raw answers (raw) as they came, a line each."""
+    answers.select(F.col("raw").alias("value")).write.mode("overwrite").text(path)
+
+
+def save_texts(files: DataFrame, folder: str) -> None:
+    """Writes files (path, body) below a folder, through the store's own file system.
+
+    Each task writes the files of its rows; a file that is written again is the same file.
+    """
+    from tableloom.sources.stores import put_text
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for path, body in zip(part["path"], part["body"], strict=True):
+                put_text(f"{folder}/{path}", body)
+            yield part[["path"]]
+
+    files.mapInPandas(run, "path string").write.format("noop").mode("overwrite").save()
+
+
+def with_grids(tables: DataFrame, grids: DataFrame) -> DataFrame:
+    """Tables with the layout grid of their table_id (grids: table_id, grid), null where there is none."""
+    return tables.join(grids.select("table_id", "grid"), "table_id", "left")
+
+
 def save_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -70,12 +97,23 @@ def approved_contracts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_slides(spark: SparkSession, folder: str) -> DataFrame:
-    """Slides of an audit folder: points, meta and types files of each slide joined; slides of no type are left out."""
-    slide = F.regexp_extract(F.input_file_name(), r"([^/]+/[^/]+)/[^/]+$", 1).alias("slide")
-    meta = spark.read.schema("cost_usd double, n_points int, validation_errors array<string>, self_checks array<string>").json(f"{folder}/*/*/meta.json", multiLine=True).select(slide, "*")
-    types = spark.read.schema("element_types array<string>").json(f"{folder}/*/*/types.json", multiLine=True).select(slide, "*")
-    points = spark.read.option("multiLine", True).schema("element_idx int, element_type string, series string, period string, value string").json(f"{folder}/*/*/datapoints.json").select(slide, "*").groupBy("slide").agg(F.count("*").alias("points"))
-    return meta.join(types, "slide").join(points, "slide").filter("not array_contains(element_types, 'none') and points > 0")
+    """Slides of an audit folder: points, meta and types of each slide joined; those of no type or without points are left out.
+
+    A slide without a title has its number for one; branch tells how it was read.  A slide may lack its meta file.
+    """
+    at = F.regexp_extract(F.input_file_name(), r"([^/]+/[^/]+)/[^/]+$", 1).alias("slide")
+
+    def part(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).json(f"{folder}/*/*/{name}.json", multiLine=True).select(at, "*")
+
+    meta = part("meta", "cost_usd double, n_points int, validation_errors array<string>, usages array<struct<pass string>>")
+    types = spark.read.text(f"{folder}/*/*/element_types.json", wholetext=True).select(at, F.from_json("value", "array<string>").alias("types"))
+    points = part("datapoints", "slide_title string, element_idx int, series string, period string, value string")
+    points = points.groupBy("slide").agg(F.count("*").cast("int").alias("points"), F.max("slide_title").alias("title"))
+    rows = points.join(types, "slide").filter(F.exists("types", lambda x: x != "none")).join(meta, "slide", "left")
+    number = F.regexp_extract("slide", r"slide_([0-9]+)$", 1).try_cast("int")
+    rows = rows.withColumn("num", number).withColumn("title", F.coalesce(F.nullif("title", F.lit("")), F.concat(F.lit("Slide "), number)))
+    return rows.withColumn("branch", branch(F.transform("usages", lambda u: u["pass"]))).withColumn("n_points", F.coalesce("n_points", "points")).withColumn("cost_usd", F.coalesce("cost_usd", F.lit(0.0))).drop("usages")
 
 
 def run_summaries(spark: SparkSession, path: str, workbooks: DataFrame) -> DataFrame:

@@ -116,16 +116,15 @@ def grid_extents(t: Tables) -> DataFrame:
     return json_files.grid_words(cells).drop("top")
 
 
-SLIDES_SQL = f"""with k as {K}, s as (select * from k where k <= 2 and o_orderkey % 5 > 0) select 'b_' || o_custkey || '/slide_0' || k as slide, case when o_orderkey % 3 = 0 then 'Slide ' || k else 'Title ' || o_orderkey end as title, (1 + o_orderkey % 2)::int as points, case when o_orderkey % 4 = 0 then 'resumed' when o_orderkey % 4 = 1 then 'single-pass' else 'multi-pass' end as branch from s"""
+SLIDES_SQL = """with c as (select distinct conv_id as o from conversations) select 'b_' || o || '/slide_0' || 1 + o % 9 as slide, case when o % 3 = 0 then 'Slide ' || 1 + o % 9 else 'Title ' || o end as title, (1 + o % 2)::int as points, case when o % 4 = 0 then 'resumed' when o % 4 = 1 then 'single-pass' else 'multi-pass' end as branch from c where o % 5 > 0"""
 
 
 @query("slides_folder", SLIDES_SQL)
 def slides_folder(t: Tables) -> DataFrame:
-    """An audit folder per customer, its first two orders being slides; some have no meta, some are of no type."""
+    """An audit folder of one slide per conversation, three files each; some have no meta, every fifth is of no type."""
     folder = Scratch(t.spark, "files-slides").table("audit")
-    k = F.col("o_orderkey")
-    rows = ranked(t).filter("k <= 2")
-    place = text("b_", F.col("o_custkey"), "/slide_0", F.col("k"))
+    rows, k = t.conversations.select("conv_id").distinct(), F.col("conv_id")
+    place = text("b_", k, "/slide_0", 1 + k % 9)
     point = F.to_json(F.struct(F.when(k % 3 > 0, text("Title ", k)).alias("slide_title"), F.lit("1").alias("value")))
     points = F.concat(F.lit("["), point, F.when(k % 2 == 1, F.concat(F.lit(","), point)).otherwise(""), F.lit("]"))
     types = F.when(k % 5 == 0, '["none"]').otherwise('["pie", "none"]')

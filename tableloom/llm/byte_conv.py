@@ -267,6 +267,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, t:
     null text is an empty one.  Rows that repeat a doc_id, or have none, are scored each.  Without labels of both
     kinds the score is the same for all: their only value, or 1/2.
     """
+    ws.small_batches(docs.sparkSession)
     net = train(docs, labels, t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,6 +282,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, t:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, t: Training | None = None) -> DataFrame:
     """The rows of docs whose text scores threshold or more, with all their columns."""
+    ws.small_batches(docs.sparkSession)
     net, place = train(docs, labels, t), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -493,6 +493,7 @@ def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int
         raise ValueError("contexts have three to six bytes")
     spark = docs.sparkSession
     scratch = Scratch(spark, "context-tree")
+    ws.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", learn.alias("learn"))
     ends = docs.agg(F.count_if("learn")).first()[0]
     found = docs.select("text").mapInArrow(byte_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # 65,536 rows at most

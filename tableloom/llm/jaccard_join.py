@@ -167,6 +167,7 @@ def link_documents(docs: DataFrame, j: Jaccard | None = None) -> DataFrame:
     j = j or Jaccard()
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard-join")
+    ws.small_batches(spark)
     docs = docs.select("doc_id", "text")
     about = scratch.save(describe(docs, j), "about")
     classes = about.filter("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("rep")).filter("rep is not null")

@@ -340,8 +340,12 @@ def meet(s: Similar, best: int | None) -> Callable[[pa.Table], pa.Table]:
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(v) else v
         count = np.diff(np.r_[first, len(v)])
         nth = np.arange(len(v)) - np.repeat(first, count)
-        more = np.repeat((count > (best or len(v))) | (np.logical_or.reduceat(partly, first) if len(v) else partly), count)
-        take = nth < (best or len(v))
+        named = np.full(len(first), best or len(v))
+        if best:  # where the best candidate is a close one, it is enough
+            size = x.size[u[first]] + x.size[v[first]]
+            named[apart[order][first] * 3 <= size - 2 * -(-size * s.num // (s.num + s.den))] = 1
+        more = np.repeat((count > named) | (np.logical_or.reduceat(partly, first) if len(v) else partly), count)
+        take = nth < np.repeat(named, count)
         u, v, more = u[take], v[take], more[take]
         out = pa.table({"u_doc": x.doc[u], "u_line": x.number[u], "v_doc": x.doc[v], "v_line": x.number[v], "more": more})
         del x, found
@@ -389,14 +393,15 @@ def buckets_of_lines(docs: DataFrame, rank: Broadcast, s: Similar) -> np.ndarray
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = batch.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            place = np.arange(ends.sum()) - np.repeat(np.cumsum(ends) - ends, ends)
-            rare = place < np.repeat(shown(ends, s), ends)
-            word = batch.column(0).flatten().to_numpy().view(U)[rare]
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([k << BITS | x for k, x in enumerate(marks(word))])).astype(np.int32))], ["bucket"])
+            for _, _, data, at in wanted_lines(batch.column(0), batch.column(1)):
+                x = Lines(data, at, rank.value, whole=True)
+                place = np.arange(len(x.code)) - np.repeat(x.first[:-1], x.size)
+                word = x.code[place < np.repeat(shown(x.size, s), x.size)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([k << BITS | y for k, y in enumerate(marks(word))])).astype(np.int32))], ["bucket"])
+            ws.trim()
 
     out = np.zeros(1 << BITS, np.uint8)
-    found = line_sets(docs, rank).select("codes").mapInArrow(run, "bucket int").distinct().toArrow()["bucket"].to_numpy()  # 2^23 numbers at most
+    found = docs.select("text", "wanted").mapInArrow(run, "bucket int").distinct().toArrow()["bucket"].to_numpy()
     out[found[found < 1 << BITS]] |= 1
     out[found[found >= 1 << BITS] & ((1 << BITS) - 1)] |= 2
     return out
@@ -411,6 +416,7 @@ def later_matches(docs: DataFrame, s: Similar | None = None) -> DataFrame:
     s = s or Similar()
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
+    ws.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     logs, size = rarities(docs)
     rank, parts = spark.sparkContext.broadcast(logs), max(4, -(-size // PART_BYTES))

@@ -113,6 +113,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, length: int = 2048, windows: i
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
+    ws.small_batches(spark)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)

@@ -88,6 +88,7 @@ def document_tokens(docs: DataFrame, vocabulary: Vocabulary, separator: int, dty
     Rows that repeat a doc_id, or have none, are documents of their own.  No rows give no files and no result.
     """
     scratch = Scratch(docs.sparkSession, "separator-scan")
+    ws.small_batches(docs.sparkSession)
     held = scratch.save(write_flat(docs, vocabulary, separator, dtype, scratch.table("flat")), "held")
     counts = count_tokens(held.select("file").distinct(), separator, dtype, scratch)
     return held.join(counts, ["file", "ordinal"]).select("doc_id", F.element_at(F.split("file", "/"), -1).alias("file"), "ordinal", "start", "n_tokens")

@@ -17,6 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from tableloom.llm import wordscan as ws
 from tableloom.llm.files import file_size, read_range, writing
 from tableloom.scratch import Scratch
 
@@ -183,6 +184,7 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     page_id are responses each; a null page_id is never referred to.  No rows write no bundles.
     """
     scratch = Scratch(pages.sparkSession, "warc")
+    ws.small_batches(pages.sparkSession)
     return read_archives(write_archives(pages, scratch.table("archives"), scratch, min_bytes))
 
 

@@ -7,11 +7,13 @@ texts into Python strings; memory is bounded by CHUNK bytes of text at a time, o
 from __future__ import annotations
 
 import ctypes
+import time
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 CHUNK = 1 << 20
 RUN = 1 << 19  # bytes hashed at a time
@@ -27,6 +29,8 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _LOWERED = _BYTE[LOWER]
 _P = U(0x9E3779B97F4A7C15)
 _PINV = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_trimmed = 0.0
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -41,10 +45,23 @@ def _libc() -> ctypes.CDLL | None:
 
 
 def trim() -> None:
-    """Gives memory that is no longer used back to the system, so that a worker keeps no more than its last batch."""
+    """Gives memory that is no longer used back to the system, a few times a second at most, so that a worker keeps little."""
+    global _trimmed
+    if time.monotonic() - _trimmed < 0.3:
+        return
     pa.default_memory_pool().release_unused()
     if _libc():
         _libc().malloc_trim(0)
+    _trimmed = time.monotonic()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Where the session has Spark's default of 10,000 rows to an Arrow batch, sets it to 1,000: rows are whole texts here.
+
+    Both the executor's JVM and its Python workers hold whole batches, outside the heap.
+    """
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -25,19 +25,18 @@ def parse_tables(raw: DataFrame) -> DataFrame:
     Rows whose cells are plain strings are upgraded, row by row, by the form of their first cell; old state names
     get their present ones.  An answer that is no JSON has corrupt = true and no tables.
     """
-    body = T.without_fences(F.col("raw"))
-    rows = raw.withColumn("now", F.from_json(body, EXTRACTION, {"mode": "PERMISSIVE"})).withColumn("old", F.from_json(body, LEGACY, {"mode": "PERMISSIVE"}))
-
-    def upgraded(new: Column, old: Column) -> Column:
-        plain = F.get(old["values"], F.lit(0)).isNotNull() & ~F.coalesce(F.get(old["values"], F.lit(0)).startswith("{"), F.lit(False))
-        cells = F.when(plain, F.transform(old["values"], V.cell_from_text)).otherwise(F.transform(new["values"], V.normal_cell))
-        one = F.coalesce(old["row_type"], F.lit("data"))
-        return F.struct(old["row_id"].alias("row_id"), one.alias("row_type"), old["level"].alias("level"), old["parent"].alias("parent"), old["label"].alias("label"), F.coalesce(cells, F.array().cast(f"array<{CELL}>")).alias("values"))
-
-    out = rows.select("doc_id", F.col("old.tables").isNull().alias("corrupt"), F.posexplode_outer("old.tables").alias("table_id", "t"), F.col("now.tables").alias("nows"))
-    now = F.get(F.col("nows"), F.col("table_id"))
-    both = F.zip_with(F.col("t.rows"), now["rows"], lambda o, n: upgraded(n, o))
-    return out.select("doc_id", "corrupt", "table_id", F.col("t.title").alias("title"), F.coalesce("t.label_header", F.lit("")).alias("label_header"), F.coalesce("t.continued_from_previous", F.lit(False)).alias("continued_from_previous"), F.coalesce("t.section_id", F.lit("")).alias("section_id"), F.col("t.columns").alias("columns"), both.alias("rows"))
+    # Read once, cells as text: a cell that is an object keeps its JSON, which is read where the row's first one is.
+    rows = raw.withColumn("old", F.from_json(T.without_fences(F.col("raw")), LEGACY, {"mode": "PERMISSIVE"}))
+
+    def upgraded(row: Column) -> Column:
+        first = F.get(row["values"], F.lit(0))
+        plain = first.isNotNull() & ~F.coalesce(first.startswith("{"), F.lit(False))
+        cells = F.when(plain, F.transform(row["values"], V.cell_from_text)).otherwise(F.transform(row["values"], lambda x: V.normal_cell(F.from_json(x, CELL))))
+        kind = F.coalesce(row["row_type"], F.lit("data"))
+        return F.struct(row["row_id"].alias("row_id"), kind.alias("row_type"), row["level"].alias("level"), row["parent"].alias("parent"), row["label"].alias("label"), F.coalesce(cells, F.array().cast(f"array<{CELL}>")).alias("values"))
+
+    out = rows.select("doc_id", F.col("old.tables").isNull().alias("corrupt"), F.posexplode_outer("old.tables").alias("table_id", "t"))
+    return out.select("doc_id", "corrupt", "table_id", F.col("t.title").alias("title"), F.coalesce("t.label_header", F.lit("")).alias("label_header"), F.coalesce("t.continued_from_previous", F.lit(False)).alias("continued_from_previous"), F.coalesce("t.section_id", F.lit("")).alias("section_id"), F.col("t.columns").alias("columns"), F.transform("t.rows", upgraded).alias("rows"))
 
 
 def long_rows(tables: DataFrame) -> DataFrame:

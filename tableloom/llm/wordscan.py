@@ -19,8 +19,6 @@ CHUNK = 1 << 20
 RUN = 1 << 19  # bytes hashed at a time
 U = np.uint64
 
-SPACE = np.zeros(256, bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 

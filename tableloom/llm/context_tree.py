@@ -481,7 +481,7 @@ def score_block(depth: int, deal: Deal, tokens: float, kinds: float, ends: int)
     return run
 
 
-def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 10 << 20, tree_bytes: int = TREE_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, learn: Column, depth: int = 6, block_bytes: int = 12 << 20, tree_bytes: int = TREE_BYTES) -> DataFrame:
     """Per row of docs (doc_id, text): held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     learn: which rows the model may learn from; held_out is its negation.  depth: 3 to 6 bytes.  score is log10 of the

@@ -34,6 +34,12 @@ def number_tokens(text: Column) -> Column:
     return F.filter(F.transform(raw, lambda x: F.regexp_replace(F.regexp_replace(x, r"^[()%\s]+|[()%\s]+$", ""), ",", "")), lambda x: x != "")
 
 
+def holds_number(text: Column, token: Column) -> Column:
+    """Whether the text prints a number, spaces and commas within it aside, and no digits of the same number around it."""
+    apart = F.regexp_replace(token, "([0-9.])", r"[$1][\\s,]*")
+    return F.regexp(text, F.concat(F.lit("(?<![0-9])(?<![0-9][.,])"), apart, F.lit("(?![.,]?[0-9])")))
+
+
 def is_narrative(text: Column, least: int = 10) -> Column:
     """Fewer numbers than a table's page has; false where there is no text to tell."""
     return F.coalesce(F.regexp_count(text, F.lit("[0-9][0-9,.]*")) < least, F.lit(False))

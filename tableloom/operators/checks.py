@@ -84,13 +84,14 @@ def duplicate_labels(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.filter("row_type in ('data', 'total')").withColumn("label", F.trim("label")).filter("label <> ''").groupBy(*keys, "label").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def number_recall(json: DataFrame, pages: DataFrame, noise: DataFrame | None = None, strict: bool = False) -> DataFrame:
+def number_recall(json: DataFrame, pages: DataFrame, noise: DataFrame | None = None, strict: bool = False, whole: bool = False) -> DataFrame:
     """Numbers that extracted cells and their pages don't print equally often.
 
     json(unit, token) are the purely numeric cell tokens, pages(unit, text) the units' texts, noise(unit, token) tokens
     to leave out.  phantom: more often extracted than printed, and not even in the text without spaces and commas.
     deficit: more often printed, longer than two characters, no year, no noise, and not seven digits or more where
-    nothing numeric was extracted.  strict reports every difference.
+    nothing numeric was extracted.  strict reports every difference.  whole takes a token as in the text only where it
+    is made of whole numbers printed apart: not as a part of a longer one, nor as the end of one and the start of the next.
     """
     printed = pages.select("unit", F.explode(T.number_tokens(F.col("text"))).alias("token")).groupBy("unit", "token").agg(F.count("*").alias("printed"))
     found = json.groupBy("unit", "token").agg(F.count("*").alias("extracted"))
@@ -108,7 +109,8 @@ def number_recall(json: DataFrame, pages: DataFrame, noise: DataFrame | None = N
         # A unit's text meets only the list of tokens that it might hold in another spelling.
         asked = both.filter("kind = 'phantom'").groupBy("unit").agg(F.collect_set("token").alias("tokens"))
         squeezed = F.regexp_replace("text", r"[\s,]", "")
-        there = pages.join(asked, "unit").select("unit", F.explode(F.filter("tokens", lambda x: F.contains(squeezed, x))).alias("token")).distinct()
+        holds = lambda x: F.contains(squeezed, x) & T.holds_number(F.col("text"), x) if whole else F.contains(squeezed, x)
+        there = pages.join(asked, "unit").select("unit", F.explode(F.filter("tokens", holds)).alias("token")).distinct()
         both = both.filter((F.col("kind") == "phantom") | deficit).join(there.withColumn("kind", F.lit("phantom")), ["unit", "token", "kind"], "left_anti")
     return both.select("unit", "kind", "token", "extracted", "printed", F.length("token").alias("length"), F.abs(F.col("printed") - F.col("extracted")).alias("gap"))
 

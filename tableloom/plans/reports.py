@@ -111,7 +111,7 @@ def recall_by_severity(t: Tables) -> DataFrame:
     apart = F.concat(F.substring(cell, 1, 1), F.lit(" "), F.expr("substring(cast(4560 + unit % 5000 as string), 2)"))
     pages = units.select("unit", text("Section 14.275 of 2025 ", F.when(F.col("unit") % 3 > 0, big).otherwise(""), " and ", F.when(F.col("unit") % 4 > 0, apart).otherwise("none")).alias("text"))
     noise = checks.section_noise(units.withColumn("section_id", F.lit("B.14.275")))
-    found = checks.number_recall(checks.numeric_tokens(units.withColumn("v", cell), "unit", "v"), pages, noise)
+    found = checks.number_recall(checks.numeric_tokens(units.withColumn("v", cell), "unit", "v"), pages, noise, whole=True)
     return checks.by_severity(found.filter("length > 3"), ["unit"]).select("unit", "kind", "token", "n")
 
 

@@ -102,7 +102,9 @@ def number_recall(json: DataFrame, pages: DataFrame, noise: DataFrame | None = N
         some = json.select("unit").distinct().withColumn("some", F.lit(True))
         both = both.join(some, "unit", "left")
         if noise is not None:
-            both = both.join(noise.select("unit", "token").distinct().withColumn("noise", F.lit(True)), ["unit", "token"], "left")
+            # A unit without an id has noise too.
+            named = noise.select(F.col("unit").alias("of"), F.col("token").alias("named")).distinct().withColumn("noise", F.lit(True))
+            both = both.join(named, F.expr("unit <=> of and token = named"), "left").drop("of", "named")
         else:
             both = both.withColumn("noise", F.lit(None).cast("boolean"))
         deficit = (F.col("kind") == "deficit") & (F.length("token") > 2) & ~F.col("token").rlike("^(19|20)[0-9]{2}$") & F.col("noise").isNull() & (F.col("some").isNotNull() | (F.length("token") < 7))

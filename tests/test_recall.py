@@ -14,18 +14,27 @@ from tableloom.plans import registry
 PARTS = [25588, 45608, 85648, 47488, 53044, 58600]
 
 
-def test_recall_by_severity_of_cells_within_longer_numbers(spark, tmp_path):
-    keys = PARTS + [k + d for k in PARTS for d in (1, 2, 4)]
-    spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+def recall(spark, folder, keys):
+    """recall_by_severity over orders of these customers, and what its SQL returns."""
+    spark.createDataFrame(list(enumerate(keys)), "o_orderkey long, o_custkey long").write.parquet(f"{folder}/orders.parquet")
     columns = ["unit", "kind", "token", "n"]
-    got = [tuple(r) for r in registry.QUERIES["recall_by_severity"](spark, str(tmp_path)).select(*columns).collect()]
+    got = [tuple(r) for r in registry.QUERIES["recall_by_severity"](spark, str(folder)).select(*columns).collect()]
     c = duckdb.connect()
-    c.execute(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
-    want = c.execute(f"select {', '.join(columns)} from ({registry.ORACLES['recall_by_severity']})").fetchall()
+    c.execute(f"create view orders as select * from '{folder}/orders.parquet/*.parquet'")
+    return got, c.execute(f"select {', '.join(columns)} from ({registry.ORACLES['recall_by_severity']})").fetchall()
+
+
+def test_recall_by_severity_of_cells_within_longer_numbers(spark, tmp_path):
+    got, want = recall(spark, tmp_path, PARTS + [k + d for k in PARTS for d in (1, 2, 4)])
     assert sorted(got) == sorted(want)
     assert {u for u, kind, _, _ in got if kind == "phantom"} >= set(PARTS)
 
 
+def test_recall_by_severity_of_orders_without_a_customer(spark, tmp_path):
+    got, want = recall(spark, tmp_path, [None, 4, 5, None])
+    assert sorted(map(str, got)) == sorted(map(str, want)) and want
+
+
 TEXTS = [
     ("4 909 and", "4909", True),
     ("(4,909)", "4909", True),
